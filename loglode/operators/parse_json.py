@@ -66,15 +66,22 @@ def _rewritten(value: Column) -> Column:
     for sign, code in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")):
         escaped = F.replace(escaped, F.lit(sign), F.lit(code))
     return (
-        F.when(kind == "DOUBLE", plain_decimal(text))
+        F.when(kind == "DOUBLE", plain_decimal(shortest(text)))
         .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), escaped)
         .otherwise(text)
     )
 
 
+def shortest(text: Column) -> Column:
+    """The number in 15 digits where those say the same; some Java versions write more."""
+    number = text.try_cast("double")
+    brief = F.format_string("%.14E", number)
+    return F.when(brief.try_cast("double") == number, brief).otherwise(text)
+
+
 def plain_decimal(text: Column) -> Column:
     """``1.5E-5`` -> ``0.000015``, ``1.0E22`` -> ``1`` and 22 zeros, ``1000.0`` -> ``1000``."""
-    number = r"^(-?)([0-9]+)\.([0-9]+?)0*(?:E(-?[0-9]+))?$"
+    number = r"^(-?)([0-9]+)\.([0-9]+?)0*(?:E([+-]?[0-9]+))?$"
     sign = F.regexp_extract(text, number, 1)
     whole = F.regexp_extract(text, number, 2)
     fraction = F.regexp_replace(F.regexp_extract(text, number, 3), "^0$", "")
