@@ -83,8 +83,9 @@ def in_two(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return text_lines(source.where(early)), text_lines(source.where(~early))
 
 
-def rounded(rows: DataFrame, *names: str) -> DataFrame:
-    return rows.withColumns({name: F.round(name, 6) for name in names})
+def rounded(rows: DataFrame, *names: str, digits: int = 10) -> DataFrame:
+    """Doubles cut to where the order of a sum no longer shows."""
+    return rows.withColumns({name: F.round(name, digits) for name in names})
 
 
 # A: sources
@@ -285,7 +286,7 @@ def _ruled(name: str, *rules: Rule, change=None) -> None:
     def _(spark, sf_dir):
         rows = parsed(spark, sf_dir)
         if change:
-            rows = rows.withColumns(change)
+            rows = change(rows)
         kept = apply_rules(rows, list(rules), RULE_FIELDS, key="event_id")
         return kept.select("event_id", "status", "request")
 
@@ -300,7 +301,9 @@ _ruled(
     "d07_numeric_coercion",
     Rule("status = 0 or bytes_sent = 0", "keep"),
     Rule("upstream_response_time > 1", "drop"),
-    change={"status": F.when(F.col("event_id") % 7 == 0, "abc").otherwise(F.col("status"))},
+    change=lambda rows: rows.withColumn(
+        "status", F.when(F.col("event_id") % 7 == 0, "abc").otherwise(F.col("status"))
+    ),
 )
 _ruled("d08_predicates", Rule("not request rlike '^GET /health' and contains(request, '.html') "
                               "or http_user_agent = 'curl/7.68.0'", "keep"))
@@ -421,10 +424,12 @@ def _(spark, sf_dir):
 # F: panels
 
 
-def _panel(name: str, build: Callable[[DataFrame], DataFrame], *doubles: str) -> None:
+def _panel(
+    name: str, build: Callable[[DataFrame], DataFrame], *doubles: str, digits: int = 10
+) -> None:
     @query(name)
     def _(spark, sf_dir):
-        return rounded(build(table(spark, sf_dir)), *doubles)
+        return rounded(build(table(spark, sf_dir)), *doubles, digits=digits)
 
 
 _SPAN = (START, END)
@@ -457,7 +462,7 @@ _panel("f18_error_rate_legend", lambda t: panels.roll_up(
     panels.error_rate_series(t, *_SPAN, HOUR), ["error_4xx_5xx", "error_5xx"], ["mean", "max"]),
     "mean", "max")
 _panel("f18_bandwidth_legend", lambda t: panels.roll_up(
-    panels.bandwidth_series(t, *_SPAN, HOUR), ["bytes_sent"], ["sum", "mean"]), "sum", "mean")
+    panels.bandwidth_series(t, *_SPAN, HOUR), ["bytes_sent"], ["sum", "mean"]), "sum", "mean", digits=6)
 _panel("f18_rps_legend", lambda t: panels.roll_up(
     panels.rps_series(t, *_SPAN, HOUR), ["rps"], ["mean", "max"]), "mean", "max")
 _panel("f19_method_share", lambda t: panels.method_share(t, *_SPAN), "percent")

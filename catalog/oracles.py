@@ -94,7 +94,7 @@ WITH e AS (
 
 ROW = """addr AS "RemoteAddr", usr AS "RemoteUser", t AS "TimeLocal", request AS "Request",
   status AS "Status", bytes AS "BytesSent", referer AS "HttpReferer", agent AS "HttpUserAgent",
-  round(took, 6) AS "RequestTime\""""
+  round(took, 10) AS "RequestTime\""""
 DATED = ROW + ', CAST(t AS DATE) AS "Date"'
 
 
@@ -142,7 +142,7 @@ expect(
       CASE WHEN event_id % 50 <> 0 THEN status END AS status,
       CASE WHEN event_id % 60 <> 0 THEN bytes END AS bytes_sent,
       CASE WHEN event_id % 70 <> 0 THEN t END AS time_local,
-      CASE WHEN event_id % 80 <> 0 THEN round(took, 6) END AS request_time,
+      CASE WHEN event_id % 80 <> 0 THEN round(took, 10) END AS request_time,
       concat_ws(',', CASE WHEN event_id % 70 = 0 THEN 'time_local' END,
         CASE WHEN event_id % 50 = 0 THEN 'status' END,
         CASE WHEN event_id % 60 = 0 THEN 'bytes_sent' END,
@@ -265,15 +265,15 @@ expect(
 expect("f01_total_requests", "SELECT count(*) AS total FROM w")
 expect(
     "f02_average_rps",
-    """SELECT round(count(*) / greatest(date_diff('second', min(t), max(t)), 1), 6) AS rps FROM w""",
+    """SELECT round(count(*) / greatest(date_diff('second', min(t), max(t)), 1), 10) AS rps FROM w""",
 )
 _FAILED = "count(*) FILTER (status >= 500) * 100.0::DOUBLE / greatest(count(*), 1)"
 _WRONG = "count(*) FILTER (status >= 400) * 100.0::DOUBLE / greatest(count(*), 1)"
 _P95, _P99 = "quantile_cont(took, 0.95)", "quantile_cont(took, 0.99)"
-expect("f03_error_rate", f"SELECT round({_FAILED}, 6) AS error_rate FROM w")
-expect("f04_mean_response_time", "SELECT round(avg(took), 6) AS avg_time FROM w")
-expect("f05_p95", f"SELECT round({_P95}, 6) AS p95 FROM w")
-expect("f06_p99", f"SELECT round({_P99}, 6) AS p99 FROM w")
+expect("f03_error_rate", f"SELECT round({_FAILED}, 10) AS error_rate FROM w")
+expect("f04_mean_response_time", "SELECT round(avg(took), 10) AS avg_time FROM w")
+expect("f05_p95", f"SELECT round({_P95}, 10) AS p95 FROM w")
+expect("f06_p99", f"SELECT round({_P99}, 10) AS p99 FROM w")
 _CLASSES = """SELECT date_trunc('hour', t) AS time, concat(status // 100, 'xx') AS status_class,
   count(*) AS cnt FROM w GROUP BY 1, 2"""
 expect("f07_status_class_series", _CLASSES)
@@ -288,16 +288,16 @@ _BYTES = f"SELECT date_trunc('hour', t) AS time, CAST(sum(bytes) AS BIGINT) AS b
 _RPS = f"SELECT date_trunc('hour', t) AS time, count(*) / 3600.0::DOUBLE AS rps {_HOURS}"
 expect(
     "f09_latency_series",
-    f"""SELECT time, round(avg, 6) AS avg, round(p95, 6) AS p95, round(p99, 6) AS p99
+    f"""SELECT time, round(avg, 10) AS avg, round(p95, 10) AS p95, round(p99, 10) AS p99
     FROM ({_LATENCY})""",
 )
 expect(
     "f10_error_rate_series",
-    f"""SELECT time, round(error_4xx_5xx, 6) AS error_4xx_5xx, round(error_5xx, 6) AS error_5xx
+    f"""SELECT time, round(error_4xx_5xx, 10) AS error_4xx_5xx, round(error_5xx, 10) AS error_5xx
     FROM ({_ERRORS})""",
 )
 expect("f11_bandwidth_series", _BYTES)
-expect("f12_rps_series", f"SELECT time, round(rps, 6) AS rps FROM ({_RPS})")
+expect("f12_rps_series", f"SELECT time, round(rps, 10) AS rps FROM ({_RPS})")
 for _name, _key, _column in (
     ("f13_top_urls", "url", "url"),
     ("f14_top_clients", "addr", "ip"),
@@ -309,7 +309,7 @@ for _name, _key, _column in (
         ORDER BY cnt DESC, 1 LIMIT 10""",
     )
 _DETAIL = """SELECT t AS "TimeLocal", addr AS "RemoteAddr", method AS "Method", url AS "URL",
-  status AS "Status", bytes AS "BytesSent", round(took, 6) AS "RequestTime",
+  status AS "Status", bytes AS "BytesSent", round(took, 10) AS "RequestTime",
   referer AS "HttpReferer", agent AS "HttpUserAgent" FROM w WHERE status >= 400 OR took > 1
   ORDER BY t DESC, 2, 3, 4, 5, 6, 7, 8, 9 LIMIT 500"""
 expect("f16_slow_or_failed", _DETAIL)
@@ -317,7 +317,7 @@ expect("f21_slowest_first", _DETAIL)
 expect(
     "f17_buckets",
     """SELECT time_bucket(INTERVAL '15 minutes', t) AS time,
-      round(count(*) / 900.0::DOUBLE, 6) AS rps FROM w GROUP BY 1""",
+      round(count(*) / 900.0::DOUBLE, 10) AS rps FROM w GROUP BY 1""",
 )
 expect(
     "f18_status_class_legend",
@@ -325,10 +325,10 @@ expect(
 )
 
 
-def _legend(series: str, lines: list[str], calcs: dict[str, str]) -> str:
+def _legend(series: str, lines: list[str], calcs: dict[str, str], digits: int = 10) -> str:
     return " UNION ALL ".join(
         f"SELECT '{line}' AS series, "
-        + ", ".join(f"round({call}(CAST({line} AS DOUBLE)), 6) AS {calc}"
+        + ", ".join(f"round({call}(CAST({line} AS DOUBLE)), {digits}) AS {calc}"
                     for calc, call in calcs.items())
         + f" FROM ({series})"
         for line in lines
@@ -338,12 +338,12 @@ def _legend(series: str, lines: list[str], calcs: dict[str, str]) -> str:
 _MEAN_MAX = {"mean": "avg", "max": "max"}
 expect("f18_latency_legend", _legend(_LATENCY, ["avg", "p95", "p99"], _MEAN_MAX))
 expect("f18_error_rate_legend", _legend(_ERRORS, ["error_4xx_5xx", "error_5xx"], _MEAN_MAX))
-expect("f18_bandwidth_legend", _legend(_BYTES, ["bytes_sent"], {"sum": "sum", "mean": "avg"}))
+expect("f18_bandwidth_legend", _legend(_BYTES, ["bytes_sent"], {"sum": "sum", "mean": "avg"}, 6))
 expect("f18_rps_legend", _legend(_RPS, ["rps"], _MEAN_MAX))
 expect(
     "f19_method_share",
     """SELECT method, count(*) AS cnt,
-      round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS percent FROM w GROUP BY 1""",
+      round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 10) AS percent FROM w GROUP BY 1""",
 )
 for _name, _number, _column, _yellow, _red in (
     ("f20_error_rate_level", _FAILED, "error_rate", 1, 5),
@@ -353,7 +353,7 @@ for _name, _number, _column, _yellow, _red in (
 ):
     expect(
         _name,
-        f"""SELECT round(x, 6) AS {_column}, CASE WHEN x >= {_red} THEN 'red'
+        f"""SELECT round(x, 10) AS {_column}, CASE WHEN x >= {_red} THEN 'red'
           WHEN x >= {_yellow} THEN 'yellow' ELSE 'green' END AS level
         FROM (SELECT {_number} AS x FROM w)""",
     )
@@ -382,7 +382,7 @@ expect(
 expect(
     "g6_agent_reuse",
     """SELECT count(*) - count(DISTINCT agent) AS hits, count(DISTINCT agent) AS misses,
-      round((count(*) - count(DISTINCT agent)) / count(*), 6) AS hit_ratio
+      round((count(*) - count(DISTINCT agent)) / count(*), 10) AS hit_ratio
     FROM g WHERE agent NOT IN ('', '-')""",
 )
 
@@ -391,9 +391,9 @@ expect("h1_stream_ingest", f"SELECT {DATED} FROM g WHERE NOT contains(request, '
 expect("h2_live_status_classes", _CLASSES)
 expect(
     "h2_live_traffic",
-    f"""SELECT date_trunc('hour', t) AS time, count(*) AS cnt, round(avg(took), 6) AS avg,
-      round({_WRONG}, 6) AS error_4xx_5xx, round({_FAILED}, 6) AS error_5xx,
-      CAST(sum(bytes) AS BIGINT) AS bytes_sent, round(count(*) / 3600.0::DOUBLE, 6) AS rps
+    f"""SELECT date_trunc('hour', t) AS time, count(*) AS cnt, round(avg(took), 10) AS avg,
+      round({_WRONG}, 10) AS error_4xx_5xx, round({_FAILED}, 10) AS error_5xx,
+      CAST(sum(bytes) AS BIGINT) AS bytes_sent, round(count(*) / 3600.0::DOUBLE, 10) AS rps
     FROM w GROUP BY 1""",
 )
 expect("h3_late_rows", "SELECT CAST(t AS DATE) AS day, count(*) AS cnt FROM g GROUP BY 1")

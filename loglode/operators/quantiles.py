@@ -16,6 +16,8 @@ def cell(value: Column) -> Column:
     There are at most some 270 000 cells, whatever the data.
     """
     size = F.floor(F.log2(F.abs(value)) * 64) + 100_000
+    endless = F.abs(value) == F.lit(float("inf"))
+    size = F.when(F.isnan(value), 500_000).when(endless, 400_000).otherwise(size)
     return F.when(value == 0, 0).when(value < 0, -size).otherwise(size).cast("bigint")
 
 
@@ -27,8 +29,11 @@ def exact_quantiles(
     Counts per cell show which cells hold the wanted ranks; only those cells are then ordered
     value by value. So no task sees a group's values, just its cells or one cell of it.
     """
-    known = counts.where(F.col(value).isNotNull()).withColumn("_cell", cell(F.col(value)))
-    cells = known.groupBy(*by, "_cell").agg(F.sum("n").alias("_in_cell"))
+    # Missing values stay in, in a cell of their own that counts for nothing: a filter would make
+    # the two uses of the counts differ, and Spark would work them out twice.
+    known = counts.withColumn("_cell", cell(F.col(value)))
+    weight = F.when(F.col(value).isNotNull(), F.col("n"))
+    cells = known.groupBy(*by, "_cell").agg(F.coalesce(F.sum(weight), F.lit(0)).alias("_in_cell"))
     group = Window.partitionBy(*by)
     below = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     placed = cells.select(
@@ -48,7 +53,7 @@ def exact_quantiles(
             holds = holds | ((rank >= F.col("_below")) & (rank < F.col("_below") + F.col("_in_cell")))
     wanted = placed.where(holds).drop("_in_cell")
 
-    match = F.col("_cell") == F.col("_at")
+    match = F.col("_cell").eqNullSafe(F.col("_at"))
     for name in by:
         match = match & F.col(name).eqNullSafe(F.col(f"_by_{name}"))
     within = Window.partitionBy(*by, "_cell").orderBy(value)

@@ -123,7 +123,10 @@ def latency_series(
         (F.sum(F.col("RequestTime") * F.col("n")) / F.sum(weight)).alias("avg")
     )
     quantiles = exact_quantiles(counts, "RequestTime", names, ["time"])
-    return means.join(quantiles, "time", "left").orderBy("time")
+    quantiles = quantiles.withColumnRenamed("time", "_time")
+    # A null-safe match adds no filter to one side only, so both sides share one scan.
+    joined = means.join(quantiles, F.col("time").eqNullSafe(F.col("_time")), "left")
+    return joined.drop("_time").orderBy("time")
 
 
 def error_rate_series(table: DataFrame, start, end, interval_s: int) -> DataFrame:
