@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 AGENT_FIELDS = [
     "_is_bot",
@@ -109,20 +108,23 @@ DEVICES = [
 ]
 
 
-def _has_any(text: Column, tokens: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(token)) for token in tokens])
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _first(pairs: list[tuple[Column, object]], otherwise: object) -> Column:
-    """Value of the first condition that holds."""
-    (condition, value), *rest = pairs
-    chain = reduce(lambda acc, pair: acc.when(*pair), rest, F.when(condition, value))
-    return chain.otherwise(otherwise)
+def _has_any(text: str, tokens: list[str]) -> str:
+    return " OR ".join(f"contains({text}, {_quoted(token)})" for token in tokens)
 
 
-def clean_agent(agent: Column) -> Column:
-    """``''`` for a missing or ``-`` user agent."""
-    return F.when(agent.isNull() | (agent == "-"), "").otherwise(agent)
+def _first(text: str, table: list[tuple[str, list[str]]], otherwise: str) -> str:
+    """Name of the first table entry that has a token in the text."""
+    arms = [f"WHEN {_has_any(text, tokens)} THEN {_quoted(name)}" for name, tokens in table]
+    return f"CASE {' '.join(arms)} ELSE {_quoted(otherwise)} END"
+
+
+def _lookup(pairs: dict[str, str], key: str) -> str:
+    entries = ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in pairs.items())
+    return f"try_element_at(map({entries}), {key})"
 
 
 def _token(name: str) -> str:
@@ -144,82 +146,67 @@ def _prefix_pattern(words: list[str]) -> str:
     return f"(?:{'|'.join(branches)})" + ("?" if ends else "")
 
 
-def _listed(agent: Column) -> Column:
+def listed_bot(agent: str) -> str:
     """The first listed name in the text, in lower case, or ``''``. One pass over the text."""
     tokens = [_token(name) for names in BOTS.values() for name in names]
-    return F.regexp_extract(F.lower(agent), rf"\b({_prefix_pattern(tokens)})", 1)
-
-
-def _lookup(pairs: dict[str, str], key: Column) -> Column:
-    table = F.create_map(*[F.lit(text) for pair in pairs.items() for text in pair])
-    return F.try_element_at(table, key)
+    pattern = _quoted(rf"\b({_prefix_pattern(tokens)})")
+    return f"coalesce(regexp_extract(lower({agent}), {pattern}, 1), '')"
 
 
-def bot_name(agent: Column, listed: Column) -> Column:
+def bot_name(agent: str, listed: str) -> str:
     """Name of the bot, or ``''``, from the text and the listed name found in it."""
-    words = "|".join(UNLISTED_WORDS)
-    lowered = F.lower(agent)
-    unlisted = F.when(
-        _has_any(lowered, UNLISTED_WORDS) & ~_has_any(lowered, NOT_BOTS),
-        F.regexp_extract(agent, f"(?i)([a-z0-9_.-]*(?:{words})[a-z0-9_.-]*)", 1),
-    ).otherwise("")
+    word = "[a-z0-9_.-]*"
+    pattern = _quoted(f"(?i)({word}(?:{'|'.join(UNLISTED_WORDS)}){word})")
     display = {_token(name): name for names in BOTS.values() for name in names}
-    return F.when(listed == "", unlisted).otherwise(_lookup(display, listed))
+    return (
+        f"CASE WHEN {listed} <> '' THEN {_lookup(display, listed)} "
+        f"WHEN ({_has_any(f'lower({agent})', UNLISTED_WORDS)}) "
+        f"AND NOT ({_has_any(f'lower({agent})', NOT_BOTS)}) "
+        f"THEN regexp_extract({agent}, {pattern}, 1) ELSE '' END"
+    )
 
 
-def bot_class(name: Column, listed: Column) -> Column:
+def bot_class(name: str, listed: str) -> str:
     """Class of a bot by its name; ``''`` for no bot."""
     classes = {_token(n): kind for kind, names in BOTS.items() for n in names}
     return (
-        F.when(name == "", "")
-        .when(listed == "", UNLISTED_CLASS)
-        .otherwise(_lookup(classes, listed))
+        f"CASE WHEN {listed} <> '' THEN {_lookup(classes, listed)} "
+        f"WHEN {name} <> '' THEN {_quoted(UNLISTED_CLASS)} ELSE '' END"
     )
 
 
-def browser(agent: Column) -> Column:
-    return _first([(_has_any(agent, tokens), F.lit(name)) for name, tokens in BROWSERS], "")
-
-
-def browser_version(agent: Column, name: Column) -> Column:
-    """Major version of the browser called ``name``."""
-
-    def after(name: str, tokens: list[str]) -> Column:
-        choices = "|".join(token for token in VERSION_TOKENS.get(name, tokens))
-        return F.regexp_extract(agent, f"(?:{choices})([0-9]+)", 1)
-
-    return _first([(name == known, after(known, tokens)) for known, tokens in BROWSERS], "")
-
-
-def system(agent: Column) -> Column:
-    return _first([(_has_any(agent, tokens), F.lit(name)) for name, tokens in SYSTEMS], "")
-
-
-def device(agent: Column) -> Column:
-    return _first([(_has_any(agent, tokens), F.lit(name)) for name, tokens in DEVICES], "unknown")
+def browser_version(agent: str, product: str) -> str:
+    """Major version of the browser called ``product``."""
+    arms = []
+    for name, tokens in BROWSERS:
+        choices = "|".join(VERSION_TOKENS.get(name, tokens))
+        pattern = _quoted(f"(?:{choices})([0-9]+)")
+        arms.append(f"WHEN {_quoted(name)} THEN regexp_extract({agent}, {pattern}, 1)")
+    return f"CASE {product} {' '.join(arms)} ELSE '' END"
 
 
-def with_agent(rows: DataFrame, agent: Column, fields: list[str]) -> DataFrame:
-    """Add the requested user-agent fields under their ``_`` names.
+def with_agent(rows: DataFrame, agent: str, fields: list[str]) -> DataFrame:
+    """Add the requested user-agent fields, worked out from the column ``agent``.
 
     The values that several fields share come first, in a step of their own, so that each is
-    worked out once per row; no row leaves its partition.
+    worked out once per row; no row leaves its partition. A missing or ``-`` text names nothing.
     """
     wanted = [name for name in AGENT_FIELDS if name in fields]
-    shared = {"_agent": clean_agent(agent)}
+    shared = {}
     if {"_is_bot", "_bot_name", "_bot_class"} & set(wanted):
-        shared["_listed"] = _listed(clean_agent(agent))
+        shared["_listed"] = listed_bot(agent)
     if {"_browser", "_browser_version"} & set(wanted):
-        shared["_product"] = browser(clean_agent(agent))
-    text, listed, product = F.col("_agent"), F.col("_listed"), F.col("_product")
+        shared["_product"] = _first(agent, BROWSERS, "")
+    name = bot_name(agent, "_listed")
     values = {
-        "_is_bot": lambda: F.when(bot_name(text, listed) == "", "0").otherwise("1"),
-        "_bot_name": lambda: bot_name(text, listed),
-        "_bot_class": lambda: bot_class(bot_name(text, listed), listed),
-        "_browser": lambda: product,
-        "_browser_version": lambda: browser_version(text, product),
-        "_os": lambda: system(text),
-        "_device_type": lambda: device(text),
+        "_is_bot": f"CASE WHEN {name} <> '' THEN '1' ELSE '0' END",
+        "_bot_name": name,
+        "_bot_class": bot_class(name, "_listed"),
+        "_browser": "_product",
+        "_browser_version": browser_version(agent, "_product"),
+        "_os": _first(agent, SYSTEMS, ""),
+        "_device_type": _first(agent, DEVICES, "unknown"),
     }
-    out = rows.withColumns(shared).withColumns({name: values[name]() for name in wanted})
+    staged = rows.selectExpr("*", *[f"{sql} AS {column}" for column, sql in shared.items()])
+    out = staged.selectExpr("*", *[f"{values[column]} AS {column}" for column in wanted])
     return out.drop(*shared)

@@ -34,8 +34,10 @@ def wall_clock(raw: Column) -> Column:
 
     The offset is checked and dropped, never applied, and the session time zone plays no role.
     """
-    months = F.create_map(*[F.lit(text) for pair in MONTHS.items() for text in pair])
-    month = F.try_element_at(months, F.lower(F.substring(raw, 4, 3)))
+    spelled = {case(name): number for name, number in MONTHS.items()
+               for case in (str.title, str.lower, str.upper)}
+    months = F.create_map(*[F.lit(text) for pair in spelled.items() for text in pair])
+    month = F.try_element_at(months, F.substring(raw, 4, 3))
     iso = F.concat(
         F.substring(raw, 8, 4), F.lit("-"), month, F.lit("-"), F.substring(raw, 1, 2),
         F.lit(" "), F.substring(raw, 13, 8),

@@ -80,7 +80,8 @@ def map_columns(
         return parsed
     agent = sorted(set(AGENT_FIELDS) & set(columns.values()))
     if agent:
-        parsed = with_agent(parsed, raw_field(parsed, "http_user_agent"), agent)
+        text = raw_field(parsed, "http_user_agent")
+        parsed = with_agent(parsed.withColumn("http_user_agent", text), "http_user_agent", agent)
     out = parsed.select(
         *keep,
         *[mapped(parsed, columns[name], tags).alias(name) for name in sorted(columns)],

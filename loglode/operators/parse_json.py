@@ -23,17 +23,13 @@ def parse_json(lines: DataFrame, fields: list[str], column: str = "value") -> Da
     ).isNull()
     # What parses and opens with a brace is an object; a bare null is an entry without fields.
     good = F.coalesce(alone & line.rlike(r"^\s*(?:\{|null\s*$)"), F.lit(False))
-    texts = boxed.select("*", good.alias("_good")).select(
+    texts = F.array(*[F.try_variant_get(box, _path(name), "string") for name in fields])
+    staged = boxed.select("*", good.alias("_good"))
+    staged = staged.select("*", F.when(F.col("_good"), texts).alias("_texts"))
+    staged = staged.select("*", log_texts(box, fields).alias("_fields"))
+    return staged.select(
         *lines.columns,
-        "_box",
-        "_good",
-        *[F.when(F.col("_good"), F.try_variant_get(box, _path(name), "string")).alias(f"_text{i}")
-          for i, name in enumerate(fields)],
-    )
-    return texts.select(
-        *lines.columns,
-        *[json_text(F.col(f"_text{i}"), F.col("_good"), box, _path(name)).alias(name)
-          for i, name in enumerate(fields)],
+        *[F.get("_fields", F.lit(i)).alias(name) for i, name in enumerate(fields)],
         error_of(line, F.col("_good"), NOT_AN_OBJECT).alias("_error"),
     )
 
@@ -44,20 +40,26 @@ def _path(key: str) -> str:
     return f"$[0]['{key}']"
 
 
-def json_text(text: Column, good: Column, box: Column, path: str) -> Column:
-    """The value at ``path``, whose plain text is ``text``, the way a log field is written.
+def log_texts(box: Column, fields: list[str]) -> Column:
+    """The plain texts of all fields, the way a log field is written.
 
     Whole numbers lose their fraction, exponents are written out and null is ``''``. Objects and
     arrays stay JSON text, with ``<``, ``>`` and ``&`` escaped.
     """
-    kind = F.schema_of_variant(F.try_variant_get(box, path, "variant"))
     # Only these texts can need another form; the type tells them from equal-looking strings.
-    doubtful = text.rlike(r"^[\[{]|\.0$|[0-9]E-?[0-9]+$")
-    return (
-        F.when(text.isNull(), F.when(good & (kind == "VOID"), ""))
-        .when(doubtful, F.get(F.transform(F.array(F.struct(text.alias("text"), kind.alias("kind"))), _rewritten), F.lit(0)))
-        .otherwise(text)
+    doubtful = F.expr(
+        " OR ".join(
+            rf"_texts[{i}] IS NULL OR _texts[{i}] RLIKE r'^[\[{{]|\.0$|[0-9]E-?[0-9]+$'"
+            for i in range(len(fields))
+        )
     )
+    kinds = F.array(
+        *[F.schema_of_variant(F.try_variant_get(box, _path(name), "variant")) for name in fields]
+    )
+    rewritten = F.transform(
+        F.arrays_zip(F.col("_texts").alias("text"), kinds.alias("kind")), _rewritten
+    )
+    return F.when(doubtful, rewritten).otherwise(F.col("_texts"))
 
 
 def _rewritten(value: Column) -> Column:
@@ -66,7 +68,8 @@ def _rewritten(value: Column) -> Column:
     for sign, code in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")):
         escaped = F.replace(escaped, F.lit(sign), F.lit(code))
     return (
-        F.when(kind == "DOUBLE", plain_decimal(shortest(text)))
+        F.when(text.isNull(), F.when(kind == "VOID", ""))
+        .when(kind == "DOUBLE", _let(shortest(text), plain_decimal))
         .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), escaped)
         .otherwise(text)
     )
@@ -75,32 +78,50 @@ def _rewritten(value: Column) -> Column:
 def shortest(text: Column) -> Column:
     """The number in 15 digits where those say the same; some Java versions write more."""
     number = text.try_cast("double")
-    brief = F.format_string("%.14E", number)
-    return F.when(brief.try_cast("double") == number, brief).otherwise(text)
+    return _let(
+        F.format_string("%.14E", number),
+        lambda brief: F.when(brief.try_cast("double") == number, brief).otherwise(text),
+    )
 
 
 def plain_decimal(text: Column) -> Column:
     """``1.5E-5`` -> ``0.000015``, ``1.0E22`` -> ``1`` and 22 zeros, ``1000.0`` -> ``1000``."""
-    number = r"^(-?)([0-9]+)\.([0-9]+?)0*(?:E([+-]?[0-9]+))?$"
-    sign = F.regexp_extract(text, number, 1)
-    whole = F.regexp_extract(text, number, 2)
-    fraction = F.regexp_replace(F.regexp_extract(text, number, 3), "^0$", "")
-    shift = F.coalesce(F.regexp_extract(text, number, 4).try_cast("int"), F.lit(0))
-    digits = F.concat(whole, fraction)
-    # Where the point lands, counted from the left of the digits.
-    point = F.length(whole) + shift
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
-    large = F.rpad(digits, point, "0")
-    mixed = F.concat(
-        F.substring(digits, F.lit(1), point), F.lit("."),
-        F.substring(digits, point + 1, F.length(digits)),
+    pattern = r"^(-?)([0-9]+)\.([0-9]+?)0*(?:E([+-]?[0-9]+))?$"
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, pattern, group)
+
+    parts = F.struct(
+        part(1).alias("sign"),
+        part(2).alias("whole"),
+        F.regexp_replace(part(3), "^0$", "").alias("fraction"),
+        F.coalesce(part(4).try_cast("int"), F.lit(0)).alias("shift"),
     )
-    plain = (
-        F.when(digits.rlike("^0+$"), "0")
-        .when(point <= 0, small)
-        .when(point >= F.length(digits), large)
-        .otherwise(mixed)
+    return _let(parts, lambda p: _let(_digits(p), lambda d: F.concat(p["sign"], _placed(d))))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _digits(parts: Column) -> Column:
+    """All digits without leading zeros, and where the point lands, counted from their left."""
+    all_digits = F.concat(parts["whole"], parts["fraction"])
+    kept = F.ltrim(all_digits, F.lit("0"))
+    cut = F.length(all_digits) - F.length(kept)
+    point = F.length(parts["whole"]) + parts["shift"] - cut
+    return F.struct(kept.alias("digits"), F.length(kept).alias("size"), point.alias("point"))
+
+
+def _placed(number: Column) -> Column:
+    digits, size, point = number["digits"], number["size"], number["point"]
+    return (
+        F.when(size == 0, "0")
+        .when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= size, F.rpad(digits, point, "0"))
+        .otherwise(F.concat(
+            F.substring(digits, F.lit(1), point), F.lit("."),
+            F.substring(digits, point + 1, size),
+        ))
     )
-    # 0.05 arrives as whole 0 and fraction 05, which is already plain.
-    return F.concat(sign, F.when((shift == 0) & (whole == "0") & (fraction != ""),
-                                 F.concat(F.lit("0."), fraction)).otherwise(plain))
