@@ -235,7 +235,7 @@ expect(
     """SELECT 202401 AS month, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS batch_id,
       count(*) AS cnt FROM g GROUP BY 2""",
 )
-expect("e4_months", "SELECT year(t) * 100 + month(t) AS month, count(*) AS cnt FROM g GROUP BY 1")
+expect("e4_months", "SELECT CAST(year(t) * 100 + month(t) AS INTEGER) AS month, count(*) AS cnt FROM g GROUP BY 1")
 expect("e5_range_layout", f"SELECT {DATED} FROM g")
 expect("e6_date", "SELECT CAST(t AS DATE) AS day, count(*) AS cnt FROM g GROUP BY 1")
 expect(
@@ -246,7 +246,7 @@ expect(
 expect(
     "e8_expire",
     # The cutoff is 17 December: November goes, December stays whole.
-    """SELECT year(m) * 100 + month(m) AS month, count(*) AS cnt
+    """SELECT CAST(year(m) * 100 + month(m) AS INTEGER) AS month, count(*) AS cnt
       FROM (SELECT CASE WHEN status < 300 THEN t - INTERVAL 62 DAY ELSE t END AS m FROM g)
       WHERE m >= TIMESTAMP '2023-12-01' GROUP BY 1""",
 )

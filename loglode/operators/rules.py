@@ -9,6 +9,7 @@ never NULL inside a rule: a missing or malformed one is zero, a missing text is
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -51,19 +52,11 @@ def check_rules(spark: SparkSession, rules: list[Rule], fields: list[str]) -> No
 def sampled(rate: float, key: Column | None, salt: str) -> Column:
     """True for about ``rate`` of the rows; the same rows on every run when ``key`` names them."""
     if key is None:
-        return F.rand(abs(hash_text(salt)) % 2**31) < rate
+        return F.rand(crc32(salt.encode())) < rate
     drawn = F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit(salt))), 1, 8), 16, 10)
     return drawn.cast("bigint") < F.lit(int(rate * 2**32)).cast("bigint")
 
 
-def hash_text(text: str) -> int:
-    """A seed that does not change between Python processes."""
-    seed = 0
-    for byte in text.encode():
-        seed = (seed * 31 + byte) % 2**31
-    return seed
-
-
 def survives(rule: Rule, position: int, key: Column | None = None) -> Column:
     """Whether a row passes one rule; a condition that gives NULL lets the row pass."""
     match = F.expr(rule.condition)

@@ -7,15 +7,18 @@ from pathlib import Path
 
 import duckdb
 
-TABLES = ["events", "pages"]
+TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
 
 
-def expected(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:
+def expected(sf_dir: str, sql: str) -> tuple[dict[str, str], list[tuple]]:
     database = duckdb.connect()
     for path in Path(sf_dir).glob("*.parquet"):
         database.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     found = database.execute(sql)
-    return [column[0] for column in found.description], found.fetchall()
+    return {column[0]: str(column[1]) for column in found.description}, found.fetchall()
 
 
 def canonical(columns: list[str], rows: list[tuple]) -> list[str]:
@@ -32,9 +35,11 @@ def canonical(columns: list[str], rows: list[tuple]) -> list[str]:
 
 def differences(frame, sf_dir: str, sql: str) -> str:
     """Empty when the frame holds exactly the rows the SQL gives."""
-    columns, rows = expected(sf_dir, sql)
-    if sorted(columns) != sorted(frame.columns):
-        return f"columns {sorted(frame.columns)} instead of {sorted(columns)}"
+    types, rows = expected(sf_dir, sql)
+    columns = list(types)
+    got_types = {name: TYPES.get(kind, kind) for name, kind in frame.dtypes}
+    if got_types != types:
+        return f"columns {got_types} instead of {types}"
     got = canonical(frame.columns, [tuple(row) for row in frame.collect()])
     want = canonical(columns, rows)
     if got == want:
