@@ -23,7 +23,7 @@ def stream_logs(
     spark: SparkSession,
     path: str,
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Files that land in a folder, such as rotated logs; each file is read once.
 

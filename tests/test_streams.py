@@ -127,3 +127,10 @@ def test_tail_start_positions(spark, tmp_path):
         file.write("new\n")
     assert tail(spark, str(log), *late, startingOffsets="latest") == Counter(["new"])
     assert tail(spark, str(log), *early) == Counter(["old 1", "old 2", "new"])
+
+
+def test_batches_bounded_by_bytes(spark, logs, tmp_path):
+    stream = stream_logs(spark, logs, max_bytes_per_trigger=1024)
+    query = start_ingest(stream, JOB, str(tmp_path / "t"), str(tmp_path / "s"), None)
+    query.awaitTermination()
+    assert batch_log(spark, query).count() == 6
