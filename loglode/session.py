@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,10 @@ SETTINGS = {
 }
 
 
+#: Folders made for local sessions that name none, by application.
+OWN_ROOTS: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in SETTINGS.items():
@@ -31,16 +36,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a folder of its own.
+    Only a session whose executors are threads of the driver may name none; it gets a folder of
+    its own for as long as it lives.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in OWN_ROOTS:
+        OWN_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return OWN_ROOTS[context.applicationId]
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
