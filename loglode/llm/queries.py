@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loglode.llm.exact import exact_groups
+from loglode.llm.jaccard import near_groups
 from loglode.llm.mixing import with_copies
 from loglode.llm.packing import packed
 from loglode.llm.tables import documents
@@ -38,6 +39,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_jaccard_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates by distinct shingles of four words, 85 of 100 alike."""
+    groups = near_groups(documents(spark, sf_dir), words=4, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 @query("op6_mixing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
