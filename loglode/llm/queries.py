@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from loglode.llm.arrow_files import read_documents, write_sequences
 from loglode.llm.exact import exact_groups
 from loglode.llm.jaccard import near_groups
 from loglode.llm.mixing import with_copies
 from loglode.llm.packing import packed
+from loglode.llm.secrets import find_secrets
 from loglode.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +48,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, counted and listed."""
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda span: span.kind == kind)).cast("long")
+
+    def listed(spans: Column) -> Column:
+        parts = F.transform(spans, lambda span: F.concat_ws(":", span.kind, span.start, span.end))
+        return F.concat_ws(",", parts)
+
+    base = F.filter("spans", lambda span: span.kind != "random")
+    return find_secrets(documents(spark, sf_dir)).select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op6_mixing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
@@ -64,6 +88,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+@query("op8_arrow_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as sequences of token ids, and what the files give back."""
+    return read_documents(write_sequences(documents(spark, sf_dir)))
+
+
 ORACLES["op7_exact_dedup"] = """
 WITH texts AS (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
