@@ -13,6 +13,7 @@ from loglode.llm.mixing import with_copies
 from loglode.llm.packing import packed
 from loglode.llm.secrets import find_secrets
 from loglode.llm.tables import documents
+from loglode.llm.winnowing import fingerprints, likeness, with_fingerprint, with_next, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +71,31 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of an edited copy of each, and how alike neighbours are.
+
+    The copy ends, in place of its last quarter, as the next document begins.
+    """
+    rows = with_next(fingerprints(documents(spark, sf_dir)), ["text", "fingerprint"])
+    chars = F.length("text")
+    quarter = F.floor(chars / 4).cast("int")
+    edited = F.concat(
+        F.substring(F.col("text"), F.lit(1), chars - quarter),
+        F.substring(F.col("next_text"), F.lit(1), quarter),
+    )
+    rows = with_fingerprint(rows.withColumn("edited", edited), "edited", "edited_fingerprint")
+    return rows.select(
+        "doc_id",
+        chars.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        written("fingerprint").alias("fingerprint"),
+        written("edited_fingerprint").alias("edited_fingerprint"),
+        likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        likeness("fingerprint", "next_fingerprint").alias("near_next"),
+    )
+
+
 @query("op6_mixing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
