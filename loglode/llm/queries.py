@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from loglode.llm.arrow_files import read_documents, write_sequences
 from loglode.llm.exact import exact_groups
 from loglode.llm.jaccard import near_groups
+from loglode.llm.licenses import find_licences
 from loglode.llm.mixing import with_copies
 from loglode.llm.packing import packed
 from loglode.llm.secrets import find_secrets
@@ -120,6 +121,23 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(write_sequences(documents(spark, sf_dir)))
 
 
+@query("op9_licence_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in all documents."""
+    found = find_licences(documents(spark, sf_dir))
+    at = F.transform("places", lambda place: place["at"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(at).alias("first_word"),
+        F.array_max(at).alias("last_word"),
+        F.concat_ws(",", "base_labels").alias("base_labels"),
+        F.concat_ws(",", "labels").alias("labels"),
+        "score",
+    )
+
+
 ORACLES["op7_exact_dedup"] = """
 WITH texts AS (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
