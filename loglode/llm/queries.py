@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from loglode.llm.arrow_files import read_documents, write_sequences
 from loglode.llm.exact import exact_groups
 from loglode.llm.jaccard import near_groups
+from loglode.llm.kneser_ney import judged
 from loglode.llm.licenses import find_licences
 from loglode.llm.mixing import with_copies
 from loglode.llm.packing import packed
@@ -138,6 +139,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of all documents under models of trusted text, and which are kept."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = judged(documents(spark, sf_dir), labels)
+    return found.select("row.doc_id", "lang", "bytes", "perplexity", "limit", "kept")
+
+
 ORACLES["op7_exact_dedup"] = """
 WITH texts AS (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
