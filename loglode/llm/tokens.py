@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -9,76 +10,125 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
+
+from loglode.llm.shingles import FOLD, buffers, slices
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-#: Most pieces of text a worker keeps the ids of, some 100 MB; then it starts anew.
-KEPT = 300_000
-#: Characters of text that are encoded together.
-TOGETHER = 4_000_000
-#: A gap of spaces and line feeds with the text up to the next one. No token of either vocabulary
-#: has a character other than white space before white space, so encoding piece by piece gives
-#: the ids of the whole text, as long as these two are its only white space.
-PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​﻿]")
-#: Two letters or marks that only join across a gap are never cut apart: marks stay with the gap.
+#: Most pieces of text that a worker keeps the ids of, some 150 MB; then it starts anew.
+KEPT = 800_000
+#: Bytes of text that are encoded together.
+TOGETHER = 8 << 20
+#: White space other than a space and a line feed, and marks that some count as white space. A text
+#: with one of them is encoded as a whole.
+OTHER_SPACE = (
+    r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}"
+    r"\x{205f}-\x{2064}\x{3000}\x{feff}]"
+)
+LETTER, STOP = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+STOP[[ord(c) for c in "!,.:;?"]] = True
+LETTERS = re.compile("[ ]?[A-Za-z]+")
+SPACE_SIGN = "\u0120"
 _kept: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """A tokenizer that keeps the ids of the pieces it has met."""
+    """A tokenizer that keeps the ids of the pieces it has met more than once.
+
+    Neither vocabulary has a token that reaches from text over the white space after it, nor from
+    an ASCII letter to a full stop or the like. So a text may be cut there and encoded in pieces.
+    """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.ids: dict[str, np.ndarray] = {}
-
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, np.uint32) for x in found]
-
-    def learn(self, pieces: list[str]) -> None:
-        if len(self.ids) + len(pieces) > KEPT:
-            self.ids.clear()
-        for start in range(0, len(pieces), 20_000):
-            some = pieces[start : start + 20_000]
-            self.ids.update(zip(some, self.whole(some), strict=True))
-
-    def texts(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        plain = [OTHER_SPACE.search(text) is None for text in texts]
-        odd = iter(self.whole([t for t, ok in zip(texts, plain, strict=True) if not ok]))
-        cut = [PIECE.findall(text) if ok else [] for text, ok in zip(texts, plain, strict=True)]
-        names = pa.array(chain.from_iterable(cut), pa.large_string()).dictionary_encode()
-        pieces = names.dictionary.to_pylist()
-        missing = [piece for piece in pieces if piece not in self.ids]
-        held = {p: self.ids[p] for p in pieces if p in self.ids} if missing else self.ids
-        if missing:
-            self.learn(missing)
-            held = {**held, **{p: self.ids[p] for p in missing}}
-        known = [held[piece] for piece in pieces]
-        lengths = np.array([len(x) for x in known], np.int64)
-        flat = np.concatenate(known) if known else np.zeros(0, np.uint32)
-        at = names.indices.to_numpy(zero_copy_only=False)
-        ids = gathered(flat, lengths, at)
-        ends = np.cumsum(lengths[at]) if len(at) else np.zeros(0, np.int64)
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])]
-        return [
-            ids[bounds[i] : bounds[i + 1]] if ok else next(odd) for i, ok in enumerate(plain)
-        ]
-
-
-def gathered(flat: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The runs of ``flat`` that ``at`` names, one after the other."""
-    if not len(at):
-        return np.zeros(0, flat.dtype)
-    starts = np.cumsum(lengths) - lengths
-    counts = lengths[at]
-    ends = np.cumsum(counts)
-    shift = np.repeat(starts[at] - (ends - counts), counts)
-    return flat[np.arange(ends[-1]) + shift]
+        #: The vocabulary knows neither case nor white space.
+        self.plain = self.whole(["Aa B\n\nc"])[0] == self.whole(["aa  b c"])[0]
+        self.forget()
+
+    def forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.starts = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int64)
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def pieces(self, pieces: list[str]) -> Iterator[list[int]]:
+        """The ids of each piece. One of ASCII letters, after a space at most, is one pre-token, so
+        the model can have it without the steps before; it shows a space as its own sign."""
+        model = self.tokenizer.model
+        simple = [LETTERS.fullmatch(piece) is not None for piece in pieces]
+        rest = [piece for piece, alone in zip(pieces, simple, strict=True) if not alone]
+        others = chain.from_iterable(
+            self.whole(rest[at : at + 10_000]) for at in range(0, len(rest), 10_000)
+        )
+        for piece, alone in zip(pieces, simple, strict=True):
+            if alone:
+                yield [token.id for token in model.tokenize(piece.replace(" ", SPACE_SIGN))]
+            else:
+                yield next(others)
+
+    def looked_up(self, pieces: list[str], counts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Ids of all pieces in one array, and the start and length of each piece's own."""
+        if len(self.rows) > KEPT:
+            self.forget()
+        rows = np.fromiter((self.rows.get(piece, -1) for piece in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(rows < 0)
+        found = list(self.pieces([pieces[i] for i in new]))
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+        rows[new] = len(self.starts) + np.arange(len(new))
+        starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        lengths = np.concatenate([self.lengths, lengths])
+        flat = np.concatenate([self.flat, flat])
+        often = new[counts[new] > 1]
+        if len(often):
+            chosen = rows[often]
+            self.rows.update(zip((pieces[i] for i in often), range(len(self.starts), len(self.starts) + len(often)), strict=True))
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths[chosen]) - lengths[chosen]])
+            self.flat = np.concatenate([self.flat, gathered(flat, starts[chosen], lengths[chosen])])
+            self.lengths = np.concatenate([self.lengths, lengths[chosen]])
+        return flat, starts[rows], lengths[rows]
+
+    def texts(self, offsets: np.ndarray, data: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of each text whose only white space are spaces and line feeds."""
+        chars = data[int(offsets[0]) : int(offsets[-1])]
+        bounds = offsets - offsets[0]
+        gap = (chars == 0x20) | (chars == 0x0A)
+        cut = np.zeros(len(chars) + 1, bool)
+        cut[1:-1] = gap[1:] & ~gap[:-1] | LETTER[chars[:-1]] & STOP[chars[1:]]
+        cut[bounds] = True
+        if self.plain:
+            # Without the gaps; a piece starts where text follows one.
+            cut[1:-1] |= gap[:-1]
+            place = np.concatenate([[0], np.cumsum(~gap)])
+            chars, cut, bounds = FOLD[chars[~gap]], np.append(cut[:-1][~gap], True), place[bounds]
+        begins = np.flatnonzero(cut)
+        pieces = pa.LargeStringArray.from_buffers(
+            len(begins) - 1, pa.py_buffer(begins), pa.py_buffer(np.ascontiguousarray(chars))
+        ).dictionary_encode()
+        at = pieces.indices.to_numpy(zero_copy_only=False)
+        counts = np.bincount(at, minlength=len(pieces.dictionary))
+        flat, starts, lengths = self.looked_up(pieces.dictionary.to_pylist(), counts)
+        ids = gathered(flat, starts[at], lengths[at])
+        ends = np.concatenate([[0], np.cumsum(lengths[at])])[np.searchsorted(begins, bounds)]
+        for start, end in zip(ends[:-1], ends[1:], strict=True):
+            yield ids[start:end]
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` with these starts and lengths, one after the other."""
+    if not len(starts):
+        return flat[:0]
+    ends = np.cumsum(lengths)
+    return flat[np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)]
 
 
 def encoder(path: str) -> Encoder:
@@ -90,12 +140,10 @@ def encoder(path: str) -> Encoder:
 
 def encoded(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
     """Ids of each text of a column; a null is an empty text."""
-    some: list[str] = []
-    size = 0
-    for text in texts:
-        some.append(text.as_py() or "")
-        size += len(some[-1])
-        if size >= TOGETHER:
-            yield from encoder(path).texts(some)
-            some, size = [], 0
-    yield from encoder(path).texts(some)
+    own = encoder(path)
+    odd = pc.match_substring_regex(texts, OTHER_SPACE).fill_null(False)
+    offsets, data = buffers(texts.filter(pc.invert(odd)))
+    simple = (ids for a, b in slices(offsets, TOGETHER) for ids in own.texts(offsets[a : b + 1], data))
+    whole = (own.whole([text])[0] for text in texts.filter(odd).to_pylist())
+    for is_odd in odd.to_pylist():
+        yield np.array(next(whole), np.uint32) if is_odd else next(simple)
