@@ -10,6 +10,7 @@ from loglode.llm.arrow_files import read_documents, write_sequences
 from loglode.llm.exact import exact_groups
 from loglode.llm.jaccard import near_groups
 from loglode.llm.kneser_ney import judged
+from loglode.llm.language import document_rows, identify, page_rows
 from loglode.llm.licenses import find_licences
 from loglode.llm.mixing import with_copies
 from loglode.llm.packing import packed
@@ -73,6 +74,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all pages and of all documents."""
+    docs = documents(spark, sf_dir)
+    pages = page_rows(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    rows = pages.unionByName(document_rows(docs), allowMissingColumns=True)
+    found = identify(rows, docs.select("lang", "text"))
+    return found.select(
+        "doc_id", "page_id", "host", "declared", "suffix", "text_language", "language", "chance"
+    )
+
+
 @query("op5_fingerprints")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, of an edited copy of each, and how alike neighbours are.
