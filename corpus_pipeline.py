@@ -5,16 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loglode.llm.exact import without_copies
+from loglode.llm.jaccard import one_of_each
+from loglode.llm.kneser_ney import good_documents
 from loglode.llm.mixing import mixed
 from loglode.llm.packing import packed
 from loglode.llm.tables import documents, stored
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity under trusted text of their language is not out of line."""
+    return good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with one text the one with the largest doc_id."""
     return without_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by four fifths of their shingles of five words the first."""
+    return one_of_each(docs, words=5, percent=80)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks."""
     return mixed(docs)
@@ -25,8 +37,14 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packed(docs)
 
 
-STAGES = [("exact dedup", exact_dedup), ("mixing", mixing), ("packing", packing)]
-#: Token ids and hash draws are beyond SQL.
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", near_dedup),
+    ("mixing sources to target weights", mixing),
+    ("packing", packing),
+]
+#: Language models, hash draws and token ids are beyond SQL.
 ORACLE_SQL = None
 
 
