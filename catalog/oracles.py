@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from catalog.fixture import AGENTS, REFERERS
+
 ORACLES: dict[str, str] = {}
 
 SPAN = "t BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-31 23:59:59'"
@@ -11,29 +13,8 @@ def _texts(values: list[str]) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
-_REFERERS = [
-    "-", "https://example.com/page?q=1", "https://example.com:8080/page",
-    "http://sub.domain.org/path", "/local/path", "http://a_b.test/x",
-]
 _HOSTS = ["", "example.com", "example.com", "sub.domain.org", "", "a_b.test"]
-_AGENTS = [
-    "Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)",
-    "Mozilla/5.0 (compatible; bingbot/2.0; +http://www.bing.com/bingbot.htm)",
-    "curl/7.68.0",
-    "Wget/1.20.3",
-    "Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) "
-    "Chrome/120.0.0.0 Safari/537.36",
-    "Mozilla/5.0 (Windows NT 10.0; rv:121.0) Gecko/20100101 Firefox/121.0",
-    "",
-    "-",
-    "Mozilla/5.0 (compatible; AhrefsBot/7.0; +http://ahrefs.com/robot/)",
-    "Mozilla/5.0 AppleWebKit/537.36 (KHTML, like Gecko; compatible; GPTBot/1.0; "
-    "+https://openai.com/gptbot)",
-    "ClaudeBot/1.0",
-    "Mozilla/5.0 (compatible; SemrushBot/7; +http://www.semrush.com/bot.html)",
-    "facebookexternalhit/1.1 (+http://www.facebook.com/externalhit_uatext.php)",
-    "WhatsApp/2.23.20.0",
-]
+# What each of the sample user agents is.
 _AGENT_FACTS = {
     "c10_is_bot": ["1", "1", "1", "1", "0", "0", "0", "0", "1", "1", "1", "1", "1", "1"],
     "c11_bot_name": ["Googlebot", "bingbot", "curl", "Wget", "", "", "", "", "AhrefsBot", "GPTBot",
@@ -80,9 +61,9 @@ WITH e AS (
     concat(CAST(floor(ms / 1000) AS BIGINT), '.', lpad(CAST(ms % 1000 AS VARCHAR), 3, '0'))
       AS took_text,
     ms / 1000.0::DOUBLE AS took,
-    {_texts(_REFERERS)}[user_id % 6 + 1] AS referer,
+    {_texts(REFERERS)}[user_id % 6 + 1] AS referer,
     {_texts(_HOSTS)}[user_id % 6 + 1] AS host,
-    {_texts(_AGENTS)}[event_id % 14 + 1] AS agent
+    {_texts(AGENTS)}[event_id % 14 + 1] AS agent
   FROM u
 ), lines AS (
   SELECT *, CASE WHEN NOT good THEN concat('corrupt ', event_id) ELSE concat(
@@ -107,9 +88,18 @@ expect("a1_read_logs", "SELECT line AS value FROM lines")
 expect("a2_stream_logs", "SELECT line AS value FROM lines")
 expect("a3_tail", "SELECT line AS value FROM lines")
 expect("a4_start_position", "SELECT line AS value FROM lines WHERE ts >= TIMESTAMP '2024-01-16'")
-expect("a5_normalise", "SELECT event_id, line AS value FROM lines")
+expect(
+    "a5_normalise",
+    """SELECT event_id, CASE WHEN event_id % 5000 = 1 THEN concat(line, repeat('y', 1100000))
+      ELSE line END AS value FROM lines""",
+)
 
 # B
+expect(
+    "b1_long_lines",
+    """SELECT event_id, CAST(length(addr) + CASE WHEN event_id % 1000 = 3 THEN 1200000 ELSE 0 END AS INTEGER)
+      AS size, took_text AS request_time FROM g""",
+)
 _FIELDS = """event_id, addr AS remote_addr, usr AS remote_user, logged AS time_local, request,
   CAST(status AS VARCHAR) AS status, CAST(bytes AS VARCHAR) AS bytes_sent,
   referer AS http_referer, agent AS http_user_agent"""
@@ -177,7 +167,23 @@ for _name, _value in {
     "c17_unknown_source": "''",
     **{name: f"{_texts(facts)}[event_id % 14 + 1]" for name, facts in _AGENT_FACTS.items()},
 }.items():
+    _value = f"CAST({_value} AS INTEGER)" if _name == "c10_is_bot" else _value
     expect(_name, f"SELECT event_id, {_value} AS value FROM g")
+expect("c03_hostname_by_file", """SELECT request AS "Request", concat('web-', event_id % 3) AS "Hostname" FROM g""")
+_FACT = {name: f"{_texts(facts)}[event_id % 14 + 1]" for name, facts in _AGENT_FACTS.items()}
+FULL = f"""{ROW}, 'web-02' AS "Hostname", 'production' AS "Environment", 'api-gateway' AS "Service",
+  concat(status // 100, 'xx') AS "StatusClass", host AS "RefererDomain", ext AS "UrlExtension",
+  CAST({_FACT['c10_is_bot']} AS INTEGER) AS "IsBot", {_FACT['c11_bot_name']} AS "BotName",
+  {_FACT['c12_bot_class']} AS "BotClass", {_FACT['c13_browser']} AS "Browser",
+  {_FACT['c14_browser_version']} AS "BrowserVersion", {_FACT['c15_os']} AS "OS",
+  {_FACT['c16_device_type']} AS "DeviceType\""""
+expect("c18_full_row", f"SELECT {FULL} FROM g")
+expect("c18_full_row_json", f"SELECT {FULL} FROM g")
+expect("h1_stream_json", f"SELECT {FULL} FROM g WHERE NOT contains(request, '/healthz')")
+expect(
+    "d05_streamed_twice",
+    """SELECT true AS sampled, count(*) FILTER (status >= 400) AS errors, CAST(0 AS BIGINT) AS in_one_only FROM g""",
+)
 expect(
     "c07_status_class_raw",
     """SELECT event_id, CASE WHEN left(CAST(k AS VARCHAR), 1) BETWEEN '1' AND '5'
@@ -228,15 +234,31 @@ expect("e1_append", f"SELECT {DATED} FROM g")
 expect(
     "e2_cadence",
     """SELECT count(*) AS lines_read, count(*) FILTER (NOT good) AS parse_errors,
-      count(*) FILTER (good) AS lines_processed FROM lines""",
+      count(*) FILTER (good) AS lines_processed, count(*) FILTER (good) AS lines_stored,
+      count(DISTINCT floor(epoch(ts) / 86400)) AS batches FROM lines""",
 )
 expect(
     "e3_replay",
-    """SELECT 202401 AS month, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS batch_id,
-      count(*) AS cnt FROM g GROUP BY 2""",
+    """SELECT CAST(202401 AS INTEGER) AS month,
+        CAST(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS INTEGER) AS batch_id,
+        count(*) AS cnt FROM g GROUP BY 2
+      UNION ALL SELECT 202401, -1, count(*) FROM g WHERE ts < TIMESTAMP '2024-01-16'""",
 )
 expect("e4_months", "SELECT CAST(year(t) * 100 + month(t) AS INTEGER) AS month, count(*) AS cnt FROM g GROUP BY 1")
-expect("e5_range_layout", f"SELECT {DATED} FROM g")
+expect(
+    "e5_range_layout",
+    """SELECT count(*) AS stored, CAST(0 AS BIGINT) AS out_of_order, true AS several_files FROM g
+      WHERE t >= TIMESTAMP '2024-01-01' AND t < TIMESTAMP '2024-02-01'""",
+)
+expect(
+    "e7_contract",
+    # Nine columns are there, the tenth is not.
+    """SELECT name, name <> 'Columns' OR message LIKE 'OK%' AS ok, message FROM (VALUES
+      ('Catalog', 'OK (spark_catalog)'), ('Database', 'OK default'), ('Table', 'OK stored_requests'),
+      ('Columns', 'OK found 9, missing 0, derived 0'),
+      ('Catalog', 'OK (spark_catalog)'), ('Database', 'OK default'), ('Table', 'OK stored_requests'),
+      ('Columns', 'FAIL found 9, missing 1 (StatusClass), derived 1')) v(name, message)""",
+)
 expect("e6_date", "SELECT CAST(t AS DATE) AS day, count(*) AS cnt FROM g GROUP BY 1")
 expect(
     "e8_unexpired",
@@ -308,12 +330,30 @@ for _name, _key, _column in (
         f"""SELECT {_key} AS {_column}, count(*) AS cnt FROM w GROUP BY 1
         ORDER BY cnt DESC, 1 LIMIT 10""",
     )
+    ORACLES[_name] = f"""SELECT *, CAST(row_number() OVER (ORDER BY cnt DESC, {_column}) AS INTEGER) AS rank
+      FROM ({ORACLES[_name]})"""
 _DETAIL = """SELECT t AS "TimeLocal", addr AS "RemoteAddr", method AS "Method", url AS "URL",
   status AS "Status", bytes AS "BytesSent", round(took, 10) AS "RequestTime",
   referer AS "HttpReferer", agent AS "HttpUserAgent" FROM w WHERE status >= 400 OR took > 1
   ORDER BY t DESC, 2, 3, 4, 5, 6, 7, 8, 9 LIMIT 500"""
-expect("f16_slow_or_failed", _DETAIL)
-expect("f21_slowest_first", _DETAIL)
+_BY = ", ".join(f'"{name}"' for name in (
+    "RemoteAddr", "Method", "URL", "Status", "BytesSent", "RequestTime", "HttpReferer", "HttpUserAgent"))
+_PLACED = f"""SELECT *, CAST(row_number() OVER (ORDER BY "TimeLocal" DESC, {_BY}) AS INTEGER) AS rank
+  FROM ({_DETAIL})"""
+expect("f16_slow_or_failed", _PLACED)
+expect(
+    "f21_slowest_first",
+    f"""SELECT * EXCLUDE (rank),
+      CAST(row_number() OVER (ORDER BY "RequestTime" DESC, rank) AS INTEGER) AS rank FROM ({_PLACED})""",
+)
+expect(
+    "f06_p99_sketch", "SELECT count(*) AS requests, true AS close FROM w WHERE took IS NOT NULL"
+)
+expect(
+    "f05_crowded_cell",
+    """SELECT round(quantile_cont(1.7e9::DOUBLE + event_id / 1000.0::DOUBLE, 0.5), 3) AS p50,
+      round(quantile_cont(1.7e9::DOUBLE + event_id / 1000.0::DOUBLE, 0.95), 3) AS p95 FROM e""",
+)
 expect(
     "f17_buckets",
     """SELECT time_bucket(INTERVAL '15 minutes', t) AS time,
@@ -366,10 +406,21 @@ expect(
       count(*) FILTER (good AND NOT contains(request, '/healthz')) AS lines_processed,
       CAST(0 AS BIGINT) AS lines_not_processed FROM lines""",
 )
-expect("g2_reconciliation", "SELECT count(*) AS lines_read, true AS balanced FROM lines")
+expect(
+    "g2_reconciliation",
+    """SELECT count(*) AS lines_read,
+      count(*) FILTER (good AND NOT contains(request, '/healthz')) AS rows_stored, true AS balanced
+    FROM lines""",
+)
+expect(
+    "g4_flush_seconds",
+    """SELECT CAST(11 AS BIGINT) AS bounds, true AS rising, count(DISTINCT floor(epoch(ts) / 864000)) AS batches
+    FROM lines""",
+)
 expect(
     "g3_batch_sizes",
-    """, b AS (SELECT count(*) AS entries FROM g GROUP BY CAST(t AS DATE), status)
+    """, b AS (SELECT count(*) FILTER (good AND NOT contains(request, '/healthz')) AS entries
+      FROM lines GROUP BY floor(epoch(ts) / 259200))
     SELECT le, (SELECT count(*) FROM b WHERE le IS NULL OR entries <= le) AS observations
     FROM (VALUES (10.0::DOUBLE), (50), (100), (500), (1000), (5000), (10000), (NULL)) v(le)""",
 )
@@ -393,7 +444,8 @@ expect(
     "h2_live_traffic",
     f"""SELECT date_trunc('hour', t) AS time, count(*) AS cnt, round(avg(took), 10) AS avg,
       round({_WRONG}, 10) AS error_4xx_5xx, round({_FAILED}, 10) AS error_5xx,
-      CAST(sum(bytes) AS BIGINT) AS bytes_sent, round(count(*) / 3600.0::DOUBLE, 10) AS rps
+      CAST(sum(bytes) AS BIGINT) AS bytes_sent, round(count(*) / 3600.0::DOUBLE, 10) AS rps,
+      true AS p95_close, true AS p99_close
     FROM w GROUP BY 1""",
 )
 expect("h3_late_rows", "SELECT CAST(t AS DATE) AS day, count(*) AS cnt FROM g GROUP BY 1")

@@ -117,9 +117,18 @@ def _has_any(text: str, tokens: list[str]) -> str:
 
 
 def _first(text: str, table: list[tuple[str, list[str]]], otherwise: str) -> str:
-    """Name of the first table entry that has a token in the text."""
-    arms = [f"WHEN {_has_any(text, tokens)} THEN {_quoted(name)}" for name, tokens in table]
-    return f"CASE {' '.join(arms)} ELSE {_quoted(otherwise)} END"
+    """Name of the first table entry that has a token in the text.
+
+    The table is a constant that a short loop goes over: a ladder of conditions grows beyond what the
+    JVM compiles.
+    """
+    entries = ", ".join(
+        f"named_struct('name', {_quoted(name)}, 'token', {_quoted(token)})"
+        for name, tokens in table
+        for token in tokens
+    )
+    found = f"get(filter(array({entries}), x -> contains({text}, x.token)), 0).name"
+    return f"coalesce({found}, {_quoted(otherwise)})"
 
 
 def _lookup(pairs: dict[str, str], key: str) -> str:
@@ -146,22 +155,21 @@ def _prefix_pattern(words: list[str]) -> str:
     return f"(?:{'|'.join(branches)})" + ("?" if ends else "")
 
 
-def listed_bot(agent: str) -> str:
-    """The first listed name in the text, in lower case, or ``''``. One pass over the text."""
+def listed_bot(lower: str) -> str:
+    """The first listed name in a lower-case text, or ``''``. One pass over the text."""
     tokens = [_token(name) for names in BOTS.values() for name in names]
     pattern = _quoted(rf"\b({_prefix_pattern(tokens)})")
-    return f"coalesce(regexp_extract(lower({agent}), {pattern}, 1), '')"
+    return f"coalesce(regexp_extract({lower}, {pattern}, 1), '')"
 
 
-def bot_name(agent: str, listed: str) -> str:
-    """Name of the bot, or ``''``, from the text and the listed name found in it."""
+def bot_name(agent: str, lower: str, listed: str) -> str:
+    """Name of the bot, or ``''``, from the text, it in lower case, and the listed name found in it."""
     word = "[a-z0-9_.-]*"
     pattern = _quoted(f"(?i)({word}(?:{'|'.join(UNLISTED_WORDS)}){word})")
     display = {_token(name): name for names in BOTS.values() for name in names}
     return (
         f"CASE WHEN {listed} <> '' THEN {_lookup(display, listed)} "
-        f"WHEN ({_has_any(f'lower({agent})', UNLISTED_WORDS)}) "
-        f"AND NOT ({_has_any(f'lower({agent})', NOT_BOTS)}) "
+        f"WHEN ({_has_any(lower, UNLISTED_WORDS)}) AND NOT ({_has_any(lower, NOT_BOTS)}) "
         f"THEN regexp_extract({agent}, {pattern}, 1) ELSE '' END"
     )
 
@@ -192,21 +200,22 @@ def with_agent(rows: DataFrame, agent: str, fields: list[str]) -> DataFrame:
     worked out once per row; no row leaves its partition. A missing or ``-`` text names nothing.
     """
     wanted = [name for name in AGENT_FIELDS if name in fields]
-    shared = {}
+    steps: list[dict[str, str]] = [{}, {}, {}]
     if {"_is_bot", "_bot_name", "_bot_class"} & set(wanted):
-        shared["_listed"] = listed_bot(agent)
+        steps[0]["_lower"] = f"lower({agent})"
+        steps[1]["_listed"] = listed_bot("_lower")
+        steps[2]["_bot"] = bot_name(agent, "_lower", "_listed")
     if {"_browser", "_browser_version"} & set(wanted):
-        shared["_product"] = _first(agent, BROWSERS, "")
-    name = bot_name(agent, "_listed")
+        steps[0]["_product"] = _first(agent, BROWSERS, "")
     values = {
-        "_is_bot": f"CASE WHEN {name} <> '' THEN '1' ELSE '0' END",
-        "_bot_name": name,
-        "_bot_class": bot_class(name, "_listed"),
+        "_is_bot": "CASE WHEN _bot <> '' THEN '1' ELSE '0' END",
+        "_bot_name": "_bot",
+        "_bot_class": bot_class("_bot", "_listed"),
         "_browser": "_product",
         "_browser_version": browser_version(agent, "_product"),
         "_os": _first(agent, SYSTEMS, ""),
         "_device_type": _first(agent, DEVICES, "unknown"),
     }
-    staged = rows.selectExpr("*", *[f"{sql} AS {column}" for column, sql in shared.items()])
-    out = staged.selectExpr("*", *[f"{values[column]} AS {column}" for column in wanted])
-    return out.drop(*shared)
+    for step in [*steps, {column: values[column] for column in wanted}]:
+        rows = rows.selectExpr("*", *[f"{sql} AS {column}" for column, sql in step.items()])
+    return rows.drop(*[column for step in steps for column in step])

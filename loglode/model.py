@@ -59,9 +59,11 @@ FULL_COLUMNS = {
     "DeviceType": "_device_type",
 }
 
-MAX_LINE_BYTES = 1024 * 1024
 RETENTION_DAYS = 180
 
+#: Column of the sources that holds the path of a line's file.
+FILE = "_file"
+
 
 def kind_of(field: str) -> str:
     """``time``, ``int``, ``float`` or ``string``."""

@@ -11,18 +11,24 @@ from loglode.functions.agents import AGENT_FIELDS, with_agent
 from loglode.functions.text import status_class
 from loglode.functions.typed import typed
 from loglode.functions.urls import request_extension, url_host
-from loglode.model import kind_of
+from loglode.model import FILE, kind_of
 from loglode.operators.typed import bad_fields
 
 
 @dataclass(frozen=True)
 class Tags:
-    """Constants of one run. ``hostname="auto"`` is the name of the driver's host."""
+    """What a run adds to every row.
+
+    ``hostname="auto"`` is the name of the driver's host, which is right for one machine's own logs.
+    ``host_pattern`` is a regular expression for the path of the log file, whose first group is the
+    host; files it does not match get ``hostname``.
+    """
 
     hostname: str = ""
     environment: str = ""
     service: str = ""
     extra: dict[str, str] = field(default_factory=dict)
+    host_pattern: str | None = None
 
     def host(self) -> str:
         return socket.gethostname() if self.hostname == "auto" else self.hostname
@@ -38,7 +44,10 @@ def raw_field(parsed: DataFrame, name: str) -> Column:
 def derived(parsed: DataFrame, source: str, tags: Tags) -> Column:
     """Value of a ``_`` source; an unknown one is ``''``."""
     if source == "_hostname":
-        return F.lit(tags.host())
+        if tags.host_pattern is None or FILE not in parsed.columns:
+            return F.lit(tags.host())
+        found = F.regexp_extract(F.col(FILE), tags.host_pattern, 1)
+        return F.when(found != "", found).otherwise(tags.host())
     if source == "_environment":
         return F.lit(tags.environment)
     if source == "_service":
@@ -49,6 +58,8 @@ def derived(parsed: DataFrame, source: str, tags: Tags) -> Column:
         return url_host(raw_field(parsed, "http_referer"))
     if source == "_url_extension":
         return request_extension(raw_field(parsed, "request"))
+    if source == "_is_bot":
+        return F.col(source).cast("int")
     if source in AGENT_FIELDS:
         return F.col(source)  # added by map_columns
     if source.startswith("_extra."):

@@ -32,9 +32,7 @@ def check_table(
     present = set(spark.table(full).columns)
     missing = sorted(name for name in columns if name not in present)
     derived = sum(source.startswith("_") for source in columns.values())
-    plain = len(columns) - derived
-    if missing:
-        report("Columns", False, f"missing: {', '.join(missing)}")
-    else:
-        report("Columns", True, f"({plain}/{plain} columns match, {derived} derived)")
+    found = len(columns) - len(missing)
+    gone = f" ({', '.join(missing)})" if missing else ""
+    report("Columns", not missing, f"found {found}, missing {len(missing)}{gone}, derived {derived}")
     return done()

@@ -21,18 +21,34 @@ def counter_columns() -> list[Column]:
     ]
 
 
-def line_counters(judged: DataFrame) -> DataFrame:
-    """Lines read, failed, filtered and processed, in one pass; none are lost on the way."""
-    return judged.agg(*counter_columns()).withColumn("lines_not_processed", F.lit(0).cast("bigint"))
+def line_counters(batches: DataFrame) -> DataFrame:
+    """Sums over the batches of a run: what was read, failed, filtered, processed and not stored.
+
+    ``lines_processed`` were meant for the table; ``lines_not_processed`` of them are not in it.
+    """
+    names = ["lines_read", "parse_errors", "lines_filtered"]
+    stored, meant = F.sum("lines_stored"), F.sum("lines_processed")
+    return batches.agg(
+        *[F.sum(name).alias(name) for name in names],
+        stored.alias("lines_processed"),
+        (meant - stored).alias("lines_not_processed"),
+    )
 
 
-def reconciled(counters: DataFrame) -> DataFrame:
-    """Add ``balanced``: every line read is accounted for exactly once."""
-    accounted = (
-        F.col("parse_errors") + F.col("lines_filtered")
-        + F.col("lines_processed") + F.col("lines_not_processed")
+def reconciled(batches: DataFrame, table: DataFrame) -> DataFrame:
+    """lines_read, rows_stored and balanced: whether every good and kept line is in the table now.
+
+    Two sources are compared: the counters of the batches and the rows that the table holds.
+    """
+    rows = table.where(F.col("batch_id") >= 0).agg(F.count(F.lit(1)).alias("rows_stored"))
+    left_out = F.col("parse_errors") + F.col("lines_filtered")
+    sums = batches.agg(
+        *[F.sum(name).alias(name) for name in ("lines_read", "parse_errors", "lines_filtered")]
+    )
+    # Two single rows.
+    return sums.join(rows).select(
+        "lines_read", "rows_stored", (F.col("lines_read") == left_out + F.col("rows_stored")).alias("balanced")
     )
-    return counters.withColumn("balanced", F.col("lines_read") == accounted)
 
 
 def histogram(batches: DataFrame, value: str, bounds: list[float]) -> DataFrame:
@@ -56,7 +72,7 @@ def histogram(batches: DataFrame, value: str, bounds: list[float]) -> DataFrame:
 
 def bot_counters(table: DataFrame) -> DataFrame:
     """Requests by bots, and distinct user agents among them."""
-    bot = F.col("IsBot") == "1"
+    bot = F.col("IsBot") == 1
     return table.agg(
         F.count_if(bot).alias("bot_requests"),
         F.count_distinct(F.when(bot, F.col("HttpUserAgent"))).alias("bot_agents"),

@@ -6,12 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loglode.model import MAX_LINE_BYTES
-
 MARK, GAP = "\u0002", "\u0001"
 PLACEHOLDER = re.compile(r"\$([A-Za-z0-9_]+)")
 
-TOO_LONG = "line too long"
 NO_MATCH = "line does not match the log format"
 NOT_AN_OBJECT = "line is not a JSON object"
 
@@ -59,7 +56,7 @@ def parse_text(lines: DataFrame, log_format: str, column: str = "value") -> Data
         *lines.columns,
         *[F.when(good, F.get(F.col("_parts"), F.lit(i + 1))).alias(name)
           for i, name in enumerate(fields)],
-        error_of(line, good, NO_MATCH).alias("_error"),
+        F.when(~good, NO_MATCH).alias("_error"),
     )
 
 
@@ -72,11 +69,6 @@ def once(rows: DataFrame, value: Column, name: str) -> DataFrame:
     return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
-def error_of(line: Column, good: Column, reason: str) -> Column:
-    # The line itself is in hand, so its size is known without another pass.
-    return F.when(F.octet_length(line) >= MAX_LINE_BYTES, TOO_LONG).when(~good, reason)
-
-
 def split_valid(parsed: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """Good rows without ``_error``, and the quarantine of bad lines with their reason."""
     good = parsed.where(F.col("_error").isNull()).drop("_error")

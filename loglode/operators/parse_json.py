@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loglode.operators.parse import NOT_AN_OBJECT, error_of, once
+from loglode.operators.parse import NOT_AN_OBJECT, once
 
 
 def parse_json(lines: DataFrame, fields: list[str], column: str = "value") -> DataFrame:
@@ -30,7 +30,7 @@ def parse_json(lines: DataFrame, fields: list[str], column: str = "value") -> Da
     return staged.select(
         *lines.columns,
         *[F.get("_fields", F.lit(i)).alias(name) for i, name in enumerate(fields)],
-        error_of(line, F.col("_good"), NOT_AN_OBJECT).alias("_error"),
+        F.when(~F.col("_good"), NOT_AN_OBJECT).alias("_error"),
     )
 
 

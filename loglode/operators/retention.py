@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loglode.model import RETENTION_DAYS
+from loglode.sources.folders import Folders
 
 
 def unexpired(table: DataFrame, as_of: datetime, days: int = RETENTION_DAYS) -> DataFrame:
@@ -23,22 +24,15 @@ def expire(
 ) -> list[int]:
     """Delete the months of the table at ``path`` that lie wholly before the cutoff.
 
-    Younger months stay whole. Returns the deleted months.
+    Younger months stay whole, and so do rows without a time. Returns the deleted months.
     """
     cutoff = as_of - timedelta(days=days)
     limit = cutoff.year * 100 + cutoff.month
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    root = hadoop(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(hadoop(path, "_spark_metadata")):
-        raise ValueError(
-            "the stream log of this table lists every file; write it with sink='batches' to expire"
-        )
-    gone = []
-    for entry in files.listStatus(root):
-        name = entry.getPath().getName()
-        month = name.removeprefix("month=")
-        if name.startswith("month=") and month.isdigit() and int(month) < limit:
-            files.delete(entry.getPath(), True)
-            gone.append(int(month))
-    return sorted(gone)
+    folders = Folders(spark, path)
+    if folders.exists("_spark_metadata"):
+        raise ValueError("the log of a file-sink stream lists every file of this table")
+    months = [name.removeprefix("month=") for name in folders.named("month=")]
+    gone = sorted(int(month) for month in months if month.isdigit() and int(month) < limit)
+    for month in gone:
+        folders.remove(f"month={month}")
+    return gone

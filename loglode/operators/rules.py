@@ -2,14 +2,14 @@
 
 A rule is a Spark SQL condition over the mapped source fields, such as
 ``status >= 500 and contains(request, '/api')`` or ``request rlike '^GET /health'``. Numbers are
-never NULL inside a rule: a missing or malformed one is zero, a missing text is ``''``. Use the
-``try_`` functions where a condition could raise.
+never NULL inside a rule: a missing or malformed one is zero, a missing text is ``''``. Where an
+operation fails, as in a division by zero, its value is NULL and the row passes.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
-from zlib import crc32
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -42,22 +42,32 @@ def check_rules(spark: SparkSession, rules: list[Rule], fields: list[str]) -> No
         if not 0 <= rule.rate <= 1:
             raise ValueError(f"rate must lie between 0 and 1, not {rule.rate}")
         try:
-            kind = sample.select(F.expr(rule.condition)).schema[0].dataType.simpleString()
+            with failing_is_null(spark):
+                kind = sample.select(F.expr(rule.condition)).schema[0].dataType.simpleString()
         except PySparkException as problem:
             raise ValueError(f"condition {rule.condition!r}: {problem}") from problem
         if kind != "boolean":
             raise ValueError(f"condition {rule.condition!r} is {kind}, not boolean")
 
 
-def sampled(rate: float, key: Column | None, salt: str) -> Column:
-    """True for about ``rate`` of the rows; the same rows on every run when ``key`` names them."""
-    if key is None:
-        return F.rand(crc32(salt.encode())) < rate
+@contextmanager
+def failing_is_null(spark: SparkSession):
+    """Expressions that are analysed inside give NULL where they would otherwise end the job."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def sampled(rate: float, key: Column, salt: str) -> Column:
+    """True for about ``rate`` of the rows; the same rows on every run, as ``key`` names them."""
     drawn = F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit(salt))), 1, 8), 16, 10)
     return drawn.cast("bigint") < F.lit(int(rate * 2**32)).cast("bigint")
 
 
-def survives(rule: Rule, position: int, key: Column | None = None) -> Column:
+def survives(rule: Rule, position: int, key: Column) -> Column:
     """Whether a row passes one rule; a condition that gives NULL lets the row pass."""
     match = F.expr(rule.condition)
     if 0 < rule.rate < 1:
@@ -72,18 +82,20 @@ def with_verdict(
 ) -> DataFrame:
     """Add ``_kept``: whether the row passes every rule in turn.
 
-    ``key`` is a column that tells rows apart, for reproducible sampling. Do not use the line
-    itself: equal lines would then share one fate.
+    ``key`` is a column that tells rows apart, for sampling; without it the whole row does, so that
+    equal lines of one file share one fate. Either way every run keeps the same rows.
     """
     # The original row is packed aside so that rule texts see the coerced fields only.
     staged = parsed.select(
         F.struct(*[F.col(name) for name in parsed.columns]).alias("_row"),
         *_rule_inputs(parsed, fields),
     )
+    name = F.col(f"_row.{key}") if key else F.xxhash64("_row")
     verdict = F.lit(True)
     for position, rule in enumerate(rules):
-        verdict = verdict & survives(rule, position, F.col(f"_row.{key}") if key else None)
-    return staged.select("_row.*", verdict.alias("_kept"))
+        verdict = verdict & survives(rule, position, name)
+    with failing_is_null(parsed.sparkSession):
+        return staged.select("_row.*", verdict.alias("_kept"))
 
 
 def apply_rules(

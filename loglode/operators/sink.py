@@ -1,10 +1,18 @@
-"""Writing the access-log table."""
+"""Writing the access-log table.
+
+The table is plain Parquet in folders ``month=202401/batch_id=7``. Streams write numbered batches,
+bulk appends go to batch -1, and any of them may be read, replaced or expired beside the others.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loglode.sources.folders import Folders
+
 SORT_KEY = ["Status", "TimeLocal"]
+#: The batch of rows that no stream wrote.
+BULK = -1
 
 
 def with_date(rows: DataFrame) -> DataFrame:
@@ -19,35 +27,35 @@ def month_of(time: Column) -> Column:
     return (F.year(time) * 100 + F.month(time)).alias("month")
 
 
-def laid_out(rows: DataFrame, layout: str = "local", partitions: int | None = None) -> DataFrame:
-    """Rows with ``Date`` and ``month``, ordered by month, Status and TimeLocal.
+def laid_out(rows: DataFrame) -> DataFrame:
+    """Rows with ``Date`` and ``month``, ordered by month, Status and TimeLocal within each task.
 
-    ``local`` sorts what each task already holds: no shuffle, one sorted file per task and month.
-    ``range`` first cuts all rows into even runs of the sort key, for tight file statistics. A
-    hash of the row ends that key, so a crowded month, status or second still splits.
+    No shuffle: every task writes one sorted file per month.
     """
     out = with_date(rows).withColumn("month", month_of(F.col("TimeLocal")))
-    key = ["month", *[name for name in SORT_KEY if name in out.columns]]
-    if layout == "range":
-        spread = F.xxhash64(*[F.col(name) for name in out.columns])
-        columns = [*key, spread]
-        out = out.repartitionByRange(*([partitions] if partitions else []), *columns)
-    elif layout != "local":
-        raise ValueError(f"layout must be local or range, not {layout!r}")
-    return out.sortWithinPartitions(*key)
-
-
-def append(
-    rows: DataFrame, path: str, layout: str = "local", partitions: int | None = None
-) -> None:
+    return out.sortWithinPartitions(*_key(out))
+
+
+def _key(rows: DataFrame) -> list[str]:
+    return ["month", *[name for name in SORT_KEY if name in rows.columns]]
+
+
+def append(rows: DataFrame, path: str) -> None:
     """Add rows to the Parquet table at ``path``, partitioned by month.
 
     Rows without a readable time go to the default partition.
     """
+    if Folders(rows.sparkSession, path).exists("_spark_metadata"):
+        # Readers would follow the log that Spark's own file sink keeps there, and miss the rows.
+        raise ValueError(f"{path} belongs to a file-sink stream; append to a table of this library")
+    _write(laid_out(rows).withColumn("batch_id", F.lit(BULK)), path, "append")
+
+
+def _write(rows: DataFrame, path: str, mode: str) -> None:
     (
-        laid_out(rows, layout, partitions)
-        .write.mode("append")
-        .partitionBy("month")
+        rows.write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month", "batch_id")
         .option("compression", "zstd")
         .parquet(path)
     )
@@ -55,7 +63,8 @@ def append(
 
 def append_table(rows: DataFrame, table: str) -> None:
     """Add rows to a catalog table by column name."""
-    rows.writeTo(table).append()
+    names = rows.sparkSession.table(table).columns
+    rows.select(*names).write.insertInto(table)
 
 
 def append_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
@@ -64,12 +73,36 @@ def append_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str
 
 
 def replace_batch(rows: DataFrame, batch_id: int, path: str) -> None:
-    """Write one micro-batch so that a replay replaces it instead of adding to it."""
-    out = laid_out(rows).withColumn("batch_id", F.lit(batch_id))
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month", "batch_id")
-        .option("compression", "zstd")
-        .parquet(path)
-    )
+    """Write one micro-batch so that a replay replaces it instead of adding to it.
+
+    What an earlier attempt wrote goes first, in every month, so a replay with fewer rows leaves
+    none behind. Until the new rows are there a reader misses those of this batch.
+    """
+    folders = Folders(rows.sparkSession, path)
+    for month in folders.named("month="):
+        folders.remove(f"{month}/batch_id={batch_id}")
+    _write(laid_out(rows).withColumn("batch_id", F.lit(batch_id)), path, "append")
+
+
+def lay_out_month(rows: DataFrame, path: str, month: int, partitions: int) -> None:
+    """Rewrite one stored month in ``partitions`` even files, each a run of the sort key.
+
+    Reads stored rows, so nothing is parsed again, and folds the small files of many batches into
+    one bulk batch. The key ends in a hash of the row, so a crowded second still splits. Streams must
+    not be writing this month any more. ``rows`` is the table as read.
+    """
+    columns = [name for name in rows.columns if name != "batch_id"]
+    stored = rows.where(F.col("month") == month).select(*columns)
+    spread = F.xxhash64(*[F.col(name) for name in columns])
+    ranged = stored.repartitionByRange(partitions, *_key(stored), spread)
+    target = f"{path.rstrip('/')}-month-{month}"
+    folders = Folders(rows.sparkSession, path)
+    # First beside the table: a folder cannot be overwritten by what is read from it.
+    ranged.sortWithinPartitions(*_key(stored)).write.mode("overwrite").option(
+        "compression", "zstd"
+    ).parquet(target)
+    again = rows.sparkSession.read.schema(stored.schema).parquet(target)
+    for batch in folders.named("batch_id=", f"month={month}"):
+        folders.remove(f"month={month}/{batch}")
+    _write(again.withColumn("batch_id", F.lit(BULK)), path, "append")
+    Folders(rows.sparkSession, target).remove("")

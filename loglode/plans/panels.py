@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loglode.functions.text import request_method, request_target
 from loglode.operators.quantiles import exact_quantiles, sketch_quantiles, value_counts
@@ -21,11 +21,15 @@ def _moment(value) -> datetime:
 
 
 def in_range(table: DataFrame, start=None, end=None) -> DataFrame:
-    """Rows with ``start <= TimeLocal <= end``; by default the last 24 hours before ``end`` or now.
+    """Rows with ``start <= TimeLocal <= end``; by default the 24 hours before ``end``.
+
+    The table holds the clocks of the logs, so without ``end`` the newest row sets it.
 
     On a table partitioned by ``month`` the months outside the range are never listed or read.
     """
-    end = _moment(end) if end is not None else datetime.now()
+    if end is None:
+        end = table.agg(F.max("TimeLocal")).first()[0] or datetime.max
+    end = _moment(end)
     start = _moment(start) if start is not None else end - DEFAULT_RANGE
 
     def literal(moment: datetime) -> Column:
@@ -197,7 +201,13 @@ def method_share(table: DataFrame, start, end) -> DataFrame:
 
 def _top(table: DataFrame, start, end, key: Column, name: str, top: int) -> DataFrame:
     # Equal counts are settled by the key, so the report does not vary between runs.
-    return _counted(table, start, end, key.alias(name)).orderBy(F.desc("cnt"), name).limit(top)
+    order = [F.desc("cnt"), F.col(name)]
+    return ranked(_counted(table, start, end, key.alias(name)).orderBy(*order).limit(top), *order)
+
+
+def ranked(rows: DataFrame, *order: Column) -> DataFrame:
+    """Add ``rank``, the place of each row of a short report in its order."""
+    return rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def top_urls(table: DataFrame, start, end, top: int = TOP) -> DataFrame:
@@ -221,11 +231,11 @@ def slow_or_failed(table: DataFrame, start, end, rows: int = DETAIL_ROWS) -> Dat
         request_target(F.col("Request")).alias("URL"),
         "Status", "BytesSent", "RequestTime", "HttpReferer", "HttpUserAgent",
     )
-    rest = [name for name in detail.columns if name != "TimeLocal"]
-    return detail.orderBy(F.desc("TimeLocal"), *rest).limit(rows)
+    order = [F.desc("TimeLocal"), *[F.col(name) for name in detail.columns if name != "TimeLocal"]]
+    return ranked(detail.orderBy(*order).limit(rows), *order)
 
 
 def slowest_first(table: DataFrame, start, end, rows: int = DETAIL_ROWS) -> DataFrame:
     """The same requests, sorted by response time."""
     detail = slow_or_failed(table, start, end, rows)
-    return detail.orderBy(F.desc("RequestTime"), F.desc("TimeLocal"))
+    return ranked(detail, F.desc("RequestTime"), F.col("rank")).orderBy("rank")

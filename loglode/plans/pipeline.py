@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
+from loglode.functions.agents import AGENT_FIELDS
 from loglode.model import FULL_COLUMNS, MAIN_FORMAT
 from loglode.operators.columns import Tags, map_columns
 from loglode.operators.parse import parse_text
@@ -13,13 +14,21 @@ from loglode.operators.parse_json import parse_json
 from loglode.operators.rules import Rule, check_rules, rule_fields, with_verdict
 from loglode.sources.files import normalise
 
+#: The field that a derived column is worked out from.
+DERIVED_FROM = {
+    "_status_class": "status",
+    "_referrer_domain": "http_referer",
+    "_url_extension": "request",
+    **dict.fromkeys(AGENT_FIELDS, "http_user_agent"),
+}
+
 
 @dataclass(frozen=True)
 class Ingest:
     """What to read from a line and what to make of it.
 
-    ``log_format=None`` means one JSON object per line. ``sample_key`` names an input column that
-    tells lines apart, for reproducible sampling.
+    ``log_format=None`` means one JSON object per line. Sampling tells lines apart by their file and
+    text, or by the input column ``sample_key``.
     """
 
     log_format: str | None = MAIN_FORMAT
@@ -34,8 +43,8 @@ class Ingest:
         if self.log_format is not None:
             return parse_text(lines, self.log_format)
         needed = {s for s in self.columns.values() if not s.startswith("_")}
-        # Sources of the derived columns.
-        needed |= {"status", "request", "http_referer", "http_user_agent"}
+        for source in self.columns.values():
+            needed |= {DERIVED_FROM[source]} if source in DERIVED_FROM else set()
         return parse_json(lines, sorted(needed))
 
     def judged(self, lines: DataFrame) -> DataFrame:

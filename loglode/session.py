@@ -13,8 +13,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A JSON object that repeats a key keeps the last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # The JVM never compiles a method above this size; Spark splits such stages instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Only the month partitions (and batch ids) that a write touches are replaced.

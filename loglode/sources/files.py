@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loglode.functions.text import trim_line
+from loglode.model import FILE
 
 
 def read_logs(spark: SparkSession, path, modified_after: str | None = None) -> DataFrame:
     """Every line below ``path`` (file, folder, glob or list; ``.gz`` is unpacked).
 
-    Lines end at ``\\n`` only, so a stray carriage return stays inside its line.
+    Lines end at ``\\n`` only, so a stray carriage return stays inside its line. ``_file`` is the path
+    of the line's file. A compressed file cannot be split and is one task; rotate by size.
     ``modified_after`` skips files last written before that time.
     """
     reader = spark.read.option("lineSep", "\n")
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    return reader.text(path)
+    return with_file(reader.text(path))
+
+
+def with_file(lines: DataFrame) -> DataFrame:
+    return lines.select("value", F.col("_metadata.file_path").alias(FILE))
 
 
 def stream_logs(
@@ -34,7 +40,7 @@ def stream_logs(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.load(path)
+    return with_file(reader.load(path))
 
 
 def normalise(lines: DataFrame, column: str = "value") -> DataFrame:

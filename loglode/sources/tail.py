@@ -4,12 +4,15 @@
     spark.readStream.format("log_tail").load("/shared/logs/access.log")
 
 Every batch reads the bytes added since the last one, up to the last complete line, in ranges that
-executors read side by side. A file is known by its inode and first line, so after a rotation the
-rest of the renamed file (``access.log.*``) and the new file are both read, and a file cut back to
-nothing starts over. The driver and all executors must see the files under the same path.
-
-Options: ``startingOffsets`` is ``earliest`` (default) or ``latest``; ``rangeBytes`` is the size of
-one task's share. Compressed files are left out.
+executors read side by side. A file is known by its inode and first line, so what was written to it
+before a rotation is read under whatever name it has in its folder afterwards. A copy that was made
+before the log was emptied goes on where the log was left. A file cut back to nothing starts over.
+A log that is gone before its last lines could be read, deleted or packed, ends the stream with an
+error.
+
+The driver and all executors must see the files under the same local path; other file systems are
+refused. Options: ``startingOffsets`` is ``earliest`` (default) or ``latest``; ``rangeBytes`` is the
+size of one task's share.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 COMPRESSED = (".gz", ".bz2", ".xz", ".zst", ".lz4")
 CHUNK = 4 * 1024 * 1024
+#: Bytes before the place reached whose checksum tells a copy of the log from another file.
+TRACE = 4096
 
 
 @dataclass
@@ -41,56 +46,87 @@ class TailSource(DataSource):
         return "log_tail"
 
     def schema(self) -> str:
-        return "value string"
+        return "value string, _file string"
 
     def streamReader(self, schema) -> "TailReader":
         return TailReader(self.options)
 
 
 class TailReader(DataSourceStreamReader):
+    """Offsets map a file's key to [bytes done, checksum of the bytes before, 1 for a live log]."""
+
     def __init__(self, options: dict):
-        self.path = options["path"].removeprefix("file:")
+        self.path = options["path"].removeprefix("file://").removeprefix("file:")
+        if "://" in self.path or not os.path.isabs(self.path):
+            raise ValueError(f"log_tail follows files below an absolute local path, not {self.path!r}")
         self.start = options.get("startingOffsets", "earliest")
         if self.start not in ("earliest", "latest"):
             raise ValueError(f"startingOffsets must be earliest or latest, not {self.start!r}")
         self.range_bytes = int(options.get("rangeBytes", 64 * 1024 * 1024))
+        self.known: dict[str, list[int]] = {}
 
     def initialOffset(self) -> dict:
-        files = watched(self.path)
-        if self.start == "earliest":
-            # Files rotated away before the start are not read.
-            live = set(glob.glob(self.path))
-            files = {key: path for key, path in files.items() if path not in live}
-        return {key: complete_bytes(path) for key, path in files.items()}
+        live = set(glob.glob(self.path))
+        # Files rotated away before the start are not read.
+        self.known = {
+            key: place(path, complete_bytes(path) if self.start == "latest" or path not in live else 0, path in live)
+            for key, path in watched(self.path, {}).items()
+        }
+        return self.known
 
     def latestOffset(self) -> dict:
-        return {key: complete_bytes(path) for key, path in watched(self.path).items()}
+        live = set(glob.glob(self.path))
+        found = {
+            key: place(path, complete_bytes(path), path in live)
+            for key, path in watched(self.path, self.known).items()
+        }
+        # A new file that begins like a live log is a copy of it, read once the log is emptied.
+        whole = {key.partition("-")[2] for key, (_, _, is_live) in found.items() if is_live}
+        self.known = {
+            key: state
+            for key, state in found.items()
+            if state[2] or key in self.known or key.partition("-")[2] not in whole
+        }
+        return self.known
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
-        files = watched(self.path)
+        self.known = end
+        files = watched(self.path, end)
+        lost = [key for key, (_, _, live) in start.items() if live and key not in end]
         ranges = []
-        for key, stop in sorted(end.items()):
-            first = start.get(key, 0)
+        for key, (stop, _, _) in sorted(end.items()):
+            first = start[key][0] if key in start else 0
+            if key not in start:
+                for old in list(lost):
+                    if same_text(files.get(key, ""), key, old, start[old]):
+                        # A copy of the log, made before the log was emptied.
+                        first = start[old][0]
+                        lost.remove(old)
             for begin in range(first, stop, self.range_bytes):
                 upto = min(begin + self.range_bytes, stop)
                 ranges.append(ByteRange(files.get(key, ""), key, first, begin, upto))
+        unread = [key for key in lost if not emptied(key, end, files)]
+        if unread:
+            raise FileNotFoundError(
+                f"a log of {self.path!r} went away, deleted or packed, before its end was read"
+            )
         return ranges
 
     def read(self, part: ByteRange):
         path = part.path
         if not path or file_key(path) != part.key:
             # Renamed between planning and reading.
-            path = watched(self.path).get(part.key)
+            path = watched(self.path, {part.key: []}).get(part.key)
             if path is None:
                 raise FileNotFoundError(f"log file {part.path!r} went away before it was read")
         with open(path, "rb") as file:
-            yield from _batches(file, part)
+            yield from _batches(file, part, path)
 
     def commit(self, end: dict) -> None:
         pass
 
 
-def _batches(file, part: ByteRange):
+def _batches(file, part: ByteRange, path: str):
     """Lines that begin inside the range, in record batches."""
     at = part.begin
     if part.begin > part.first:
@@ -106,16 +142,32 @@ def _batches(file, part: ByteRange):
             block += file.readline()
         at += len(block)
         lines = block.decode("utf-8", "replace").split("\n")[:-1]
-        yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+        names = pa.array([os.path.basename(path)] * len(lines), pa.string())
+        yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string()), "_file": names})
+
 
+def watched(path: str, known: dict) -> dict[str, str]:
+    """Key and path of the files to follow.
 
-def watched(path: str) -> dict[str, str]:
-    """Key and path of the files to follow: the live ones and what they were renamed to."""
+    These are the live logs, what stands beside them under their name and a suffix, and any other
+    file of their folders that is known already.
+    """
     found = {}
-    for name in sorted({*glob.glob(path), *glob.glob(path + ".*")}):
+    live = set(glob.glob(path))
+    named = live | {name for mark in ".-_" for name in glob.glob(f"{path}{mark}*")}
+    folders = {os.path.dirname(name) for name in named} | {os.path.dirname(path)}
+    beside = {
+        entry.path
+        for folder in folders
+        if known and os.path.isdir(folder)
+        for entry in os.scandir(folder)
+        if entry.is_file()
+    }
+    # Live logs last: where a copy has a log's inode again, the log itself counts.
+    for name in [*sorted((beside | named) - live), *sorted(live)]:
         if not name.endswith(COMPRESSED):
             key = file_key(name)
-            if key:
+            if key and (name in named or key in known):
                 found[key] = name
     return found
 
@@ -131,6 +183,33 @@ def file_key(path: str) -> str | None:
     return f"{inode}-{zlib.crc32(first):08x}" if first.endswith(b"\n") else None
 
 
+def place(path: str, done: int, live: bool) -> list[int]:
+    return [done, trace(path, done), int(live)]
+
+
+def trace(path: str, done: int) -> int:
+    """Checksum of the last bytes before a place in a file."""
+    with open(path, "rb") as file:
+        file.seek(max(0, done - TRACE))
+        return zlib.crc32(file.read(done - max(0, done - TRACE)))
+
+
+def same_text(path: str, key: str, old: str, state: list[int]) -> bool:
+    """Whether a file begins as another one did, up to the place reached there."""
+    if not path or key.partition("-")[2] != old.partition("-")[2]:
+        return False
+    return os.path.getsize(path) >= state[0] and trace(path, state[0]) == state[1]
+
+
+def emptied(key: str, end: dict, files: dict[str, str]) -> bool:
+    """Whether the file of a key is there still, begun anew or not begun yet."""
+    inode = key.partition("-")[0]
+    if any(other.partition("-")[0] == inode for other in end):
+        return True
+    folder = {os.path.dirname(path) for path in files.values()}
+    return any(str(entry.inode()) == inode for place in folder for entry in os.scandir(place))
+
+
 def complete_bytes(path: str) -> int:
     """Bytes up to and including the last line end."""
     with open(path, "rb") as file:

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglode.operators.counters import counter_columns
-from loglode.operators.sink import month_of, replace_batch, with_date
+from loglode.operators.sink import replace_batch
 from loglode.plans.pipeline import Ingest
 
-COUNTERS = "lines"
+COUNTER_NAMES = ["lines_read", "parse_errors", "lines_filtered", "lines_processed"]
+BATCHES = {
+    **dict.fromkeys([*COUNTER_NAMES, "lines_stored"], "bigint"),
+    "flush_seconds": "double",
+    "batch_id": "bigint",
+}
 
 
 def cadence(interval_s: float | None) -> dict:
@@ -19,55 +26,60 @@ def cadence(interval_s: float | None) -> dict:
     return {"processingTime": f"{interval_s} seconds"}
 
 
+def batch_path(path: str) -> str:
+    """Where the counters of the batches of a table lie."""
+    return f"{path.rstrip('/')}-batches"
+
+
 def start_ingest(
     lines: DataFrame,
     ingest: Ingest,
     path: str,
     checkpoint: str,
     interval_s: float | None = 5,
-    sink: str = "files",
 ) -> StreamingQuery:
     """Run the pipeline on a stream of lines and append its rows to ``path``.
 
-    A restart on the same checkpoint goes on where the last finished batch ended. With
-    ``sink="files"`` the file sink's own log makes each batch count once; ``sink="batches"`` writes
-    plain Parquet, one partition per month and batch, where a replayed batch replaces itself. That
-    form can be expired, but wants a cadence of minutes, since every batch adds a folder.
+    A restart on the same checkpoint goes on where the last finished batch ended, and a batch that
+    is written again replaces itself. Each batch also leaves one row of counters (``batch_log``).
     """
-    judged = ingest.judged(lines).observe(COUNTERS, *counter_columns())
-    rows = with_date(ingest.rows(judged))
-    writer = rows.withColumn("month", month_of(F.col("TimeLocal"))).writeStream.trigger(
-        **cadence(interval_s)
-    ).option("checkpointLocation", checkpoint)
-    if sink == "files":
-        return (
-            writer.format("parquet")
-            .option("path", path)
-            .option("compression", "zstd")
-            .partitionBy("month")
-            .start()
+
+    def write(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        judged = ingest.judged(batch).observe(seen, *counter_columns())
+        began = time.monotonic()
+        replace_batch(ingest.rows(judged), number, path)
+        seconds = time.monotonic() - began
+        counted = seen.get
+        # Counted in the table, not taken from the plan that wrote it.
+        stored = stored_rows(batch.sparkSession, path, number)
+        row = {name: counted[name] for name in COUNTER_NAMES}
+        row |= {"lines_stored": stored, "flush_seconds": seconds, "batch_id": number}
+        (
+            batch.sparkSession.range(1)
+            .select(*[F.lit(row[name]).cast(kind).alias(name) for name, kind in BATCHES.items()])
+            .coalesce(1)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(batch_path(path))
         )
-    if sink == "batches":
-        return writer.foreachBatch(lambda batch, number: replace_batch(batch, number, path)).start()
-    raise ValueError(f"sink must be files or batches, not {sink!r}")
 
+    return (
+        lines.writeStream.trigger(**cadence(interval_s))
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .start()
+    )
 
-def batch_log(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent batch: its line counters and how long it took in seconds.
 
-    The session keeps ``spark.sql.streaming.numRecentProgressUpdates`` batches.
-    """
-    rows = []
-    for progress in query.recentProgress:
-        counted = progress.observedMetrics.get(COUNTERS)
-        if counted is None or not counted["lines_read"]:
-            continue
-        rows.append(
-            (progress.batchId, *[counted[name] for name in COUNTER_NAMES],
-             progress.durationMs.get("triggerExecution", 0) / 1000.0)
-        )
-    fields = ", ".join(f"{name} bigint" for name in COUNTER_NAMES)
-    return spark.createDataFrame(rows, f"batch_id bigint, {fields}, flush_seconds double")
+def stored_rows(spark: SparkSession, path: str, batch_id: int) -> int:
+    """Rows of one batch that the table holds; counted from file footers alone."""
+    table = spark.read.schema("Date date, month int, batch_id bigint").parquet(path)
+    return table.where(F.col("batch_id") == batch_id).count()
 
 
-COUNTER_NAMES = ["lines_read", "parse_errors", "lines_filtered", "lines_processed"]
+def batch_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch ever written to the table at ``path``: line counters, rows stored, seconds."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in BATCHES.items())
+    return spark.read.schema(schema).parquet(batch_path(path))

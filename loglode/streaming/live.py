@@ -1,78 +1,124 @@
-"""Series panels kept up to date while rows arrive."""
+"""Series panels kept up to date while rows arrive.
+
+Every batch leaves partial sums per time bucket; a reader adds them up. So a row counts however
+late it comes, and a row with a clock in the future has a bucket of its own and harms no other.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from loglode.plans.panels import bucket
+from loglode.sources.folders import Folders
 from loglode.streaming.ingest import cadence
 
+#: Batches that are folded into one folder.
+FOLD = 50
+#: Size parameter of the quantile sketches; ranks are off by well under one percent.
+SKETCH = 1_000
 
-def live_traffic(rows: DataFrame, interval_s: int, late: str = "10 minutes") -> DataFrame:
-    """Latency, error rates, bandwidth and rate per bucket of a stream of table rows.
 
-    Rows that come more than ``late`` after the newest one no longer change a bucket. Quantiles are
-    sketches, so a bucket's state stays small however busy it is.
-    """
-    total = F.greatest(F.count(F.lit(1)), F.lit(1))
-    return _buckets(rows, interval_s, late).agg(
+def live_traffic(rows: DataFrame, interval_s: int) -> DataFrame:
+    """Partial sums of latency, errors, bandwidth and rate per bucket of table rows."""
+    return rows.groupBy(bucket(interval_s), F.lit(interval_s).alias("interval_s")).agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.avg("RequestTime").alias("avg"),
-        F.percentile_approx("RequestTime", 0.95, 10_000).alias("p95"),
-        F.percentile_approx("RequestTime", 0.99, 10_000).alias("p99"),
-        (F.count_if(F.col("Status") >= 400) * F.lit(100.0) / total).alias("error_4xx_5xx"),
-        (F.count_if(F.col("Status") >= 500) * F.lit(100.0) / total).alias("error_5xx"),
+        F.count("RequestTime").alias("timed"),
+        F.sum("RequestTime").alias("seconds"),
+        F.kll_sketch_agg_double("RequestTime", SKETCH).alias("sketch"),
+        F.count_if(F.col("Status") >= 400).alias("wrong"),
+        F.count_if(F.col("Status") >= 500).alias("failed"),
         F.sum("BytesSent").alias("bytes_sent"),
-        (F.count(F.lit(1)) / F.lit(interval_s)).alias("rps"),
-    ).withColumn("time", F.col("window")["start"].cast("timestamp_ntz")).drop("window")
+    )
 
 
-def live_status_classes(rows: DataFrame, interval_s: int, late: str = "10 minutes") -> DataFrame:
-    """Requests per bucket and status class of a stream of table rows."""
+def live_status_classes(rows: DataFrame, interval_s: int) -> DataFrame:
+    """Partial counts per bucket and status class of table rows."""
     hundred = F.concat(F.expr("Status div 100").cast("string"), F.lit("xx"))
-    return (
-        _buckets(rows, interval_s, late, hundred.alias("status_class"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .withColumn("time", F.col("window")["start"].cast("timestamp_ntz"))
-        .drop("window")
+    return rows.groupBy(bucket(interval_s), hundred.alias("status_class")).agg(
+        F.count(F.lit(1)).alias("cnt")
     )
 
 
-def _buckets(rows: DataFrame, interval_s: int, late: str, *keys):
-    # Watermarks want an instant; in a UTC session that is the wall-clock time itself.
-    timed = rows.withColumn("TimeLocal", F.col("TimeLocal").cast("timestamp"))
-    return timed.withWatermark("TimeLocal", late).groupBy(F.window("TimeLocal", f"{interval_s} seconds"), *keys)
+KEYS = ["time", "interval_s", "status_class"]
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """Partial sums added up, one row per bucket."""
+    sums = [
+        F.kll_merge_agg_double(name, SKETCH).alias(name) if name == "sketch" else F.sum(name).alias(name)
+        for name in parts.columns
+        if name not in (*KEYS, "batch_id")
+    ]
+    return parts.groupBy(*[name for name in KEYS if name in parts.columns]).agg(*sums)
 
 
 def start_live(
-    series: DataFrame, path: str, checkpoint: str, interval_s: float | None = 30
+    rows: DataFrame, build, interval_s: int, path: str, checkpoint: str, cadence_s: float | None = 30
 ) -> StreamingQuery:
-    """Write each batch's changed buckets to ``path``; a replayed batch replaces itself."""
+    """Write the partial sums that ``build`` makes of each batch of table rows to ``path``.
+
+    A replayed batch replaces itself. Every FOLD batches the folders of the FOLD before are added up
+    into one, so readers open few. Those batches are done by then, and the fold is written beside
+    them before they go, under a name that makes readers pass over them.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(number))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        spark = batch.sparkSession
+        build(batch, interval_s).write.mode("overwrite").parquet(f"{path}/batch={number:012d}")
+        if number and number % FOLD == 0:
+            fold(spark, path, number // FOLD - 1)
 
     return (
-        series.writeStream.outputMode("update")
-        .trigger(**cadence(interval_s))
+        rows.writeStream.trigger(**cadence(cadence_s))
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
         .start()
     )
 
 
-def current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest state of every bucket written by ``start_live``."""
-    states = spark.read.parquet(path)
-    newest = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
-    return (
-        states.withColumn("_age", F.row_number().over(newest))
-        .where("_age = 1")
-        .drop("_age", "batch_id")
+def fold(spark: SparkSession, path: str, number: int) -> None:
+    """Add up the batches of one run of FOLD; doing it again changes nothing."""
+    folders = Folders(spark, path)
+    inside = [name for name in folders.named("batch=") if _batch(name) // FOLD == number]
+    name = f"fold={number:012d}"
+    if inside and not folders.exists(f"{name}/_SUCCESS"):
+        parts = spark.read.parquet(*[f"{path}/{batch}" for batch in inside])
+        merged(parts).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+    for batch in inside:
+        folders.remove(batch)
+
+
+def _batch(name: str) -> int:
+    return int(name.partition("=")[2])
+
+
+def partials(spark: SparkSession, path: str) -> DataFrame:
+    """All partial sums below ``path``: folded runs, and the batches that are in none of them."""
+    folders = Folders(spark, path)
+    folds = [name for name in folders.named("fold=") if folders.exists(f"{name}/_SUCCESS")]
+    done = {_batch(name) for name in folds}
+    rest = [name for name in folders.named("batch=") if _batch(name) // FOLD not in done]
+    return spark.read.parquet(*[f"{path}/{name}" for name in [*folds, *rest]])
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The series as it stands now."""
+    rows = merged(partials(spark, path))
+    if "sketch" not in rows.columns:
+        return rows
+    total = F.greatest(F.col("cnt"), F.lit(1))
+    quantile = lambda share: F.when(
+        F.col("timed") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(share))
+    )
+    return rows.select(
+        "time",
+        "cnt",
+        F.try_divide("seconds", "timed").alias("avg"),
+        quantile(0.95).alias("p95"),
+        quantile(0.99).alias("p99"),
+        (F.col("wrong") * F.lit(100.0) / total).alias("error_4xx_5xx"),
+        (F.col("failed") * F.lit(100.0) / total).alias("error_5xx"),
+        "bytes_sent",
+        (F.col("cnt") / F.col("interval_s")).alias("rps"),
     )

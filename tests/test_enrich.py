@@ -51,7 +51,8 @@ def agents(spark, *texts):
     }
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, http_user_agent string")
     mapped = map_columns(rows, columns, keep=("id",)).orderBy("id").collect()
-    return [row.asDict() for row in mapped]
+    assert all(row.bot in (0, 1) for row in mapped)
+    return [{**row.asDict(), "bot": str(row.bot)} for row in mapped]
 
 
 def test_is_bot(spark):

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loglode.model import MAIN_FORMAT
-from loglode.operators.parse import NO_MATCH, TOO_LONG, compile_format, parse_text, split_valid
+from loglode.operators.parse import NO_MATCH, compile_format, parse_text, split_valid
 from loglode.operators.parse_json import parse_json
 from loglode.operators.typed import cast_fields
 from loglode.sources.files import normalise, read_logs
@@ -50,9 +50,14 @@ def test_any_character_inside_a_field(lines, mark):
     assert row[1]._error == NO_MATCH and row[1].status is None
 
 
-def test_line_length_limit(lines):
-    fits, over = "x" * (1024 * 1024 - 1), "x" * (1024 * 1024)
-    assert column(parse_text(lines(fits, over), "$a"), "_error") == [None, TOO_LONG]
+def test_lines_of_any_length(lines):
+    for size in (1024 * 1024, 3_000_000):
+        line = GOOD[0].replace("/index.html", "/" + "a" * size)
+        row = parse_text(lines(line), SHORT).first()
+        assert row._error is None and len(row.request) == size + len("GET / HTTP/1.0")
+        json = '{"status": 200, "request": "' + "a" * size + '"}'
+        row = parse_json(lines(json), ["status", "request"]).first()
+        assert row._error is None and row.status == "200" and len(row.request) == size
 
 
 @pytest.mark.parametrize("bad", ["no fields", "$a$b", "$a $a"])

@@ -1,18 +1,21 @@
+import gzip
 import os
+import shutil
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from catalog.fixture import LINE_FORMAT, events, text_lines
+from loglode.operators import counters
 from loglode.operators.rules import Rule
 from loglode.plans import panels
 from loglode.plans.pipeline import Ingest
 from loglode.session import fresh_dir
 from loglode.sources.files import read_logs, stream_logs
 from loglode.sources.tail import TailSource
+from loglode.streaming import live
 from loglode.streaming.ingest import batch_log, start_ingest
-from loglode.streaming.live import current, live_traffic, start_live
 
 SF_DIR = "/root/testdata/sf0.001"
 JOB = Ingest(LINE_FORMAT, rules=(Rule("status = 404", "drop"),))
@@ -27,50 +30,84 @@ def logs(spark):
     return path
 
 
-@pytest.mark.parametrize("sink", ["files", "batches"])
-def test_stream_equals_batch_across_restarts(spark, logs, sink, tmp_path):
+def test_stream_equals_batch_across_restarts(spark, logs, tmp_path):
     out, state = str(tmp_path / "t"), str(tmp_path / "s")
 
     def run():
-        query = start_ingest(stream_logs(spark, logs, 1), JOB, out, state, None, sink)
+        query = start_ingest(stream_logs(spark, logs, 1), JOB, out, state, None)
         query.awaitTermination()
         return query
 
     # Stopped after the first batches, then resumed on the same checkpoint, then run with no news.
-    query = start_ingest(stream_logs(spark, logs, 1), JOB, out, state, 0, sink)
+    query = start_ingest(stream_logs(spark, logs, 1), JOB, out, state, 0)
     while not any(p.numInputRows for p in query.recentProgress):
         query.awaitTermination(0.2)
     query.stop()
     run()
-    last = run()
+    run()
     stored = spark.read.parquet(out)
     want = JOB.run(read_logs(spark, logs))
     got = stored.select(*want.columns)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
-    assert batch_log(spark, last).count() == 0
+    log = batch_log(spark, out)
+    assert log.count() == 6 and log.agg(F.sum("lines_read")).first()[0] == 1000
+    assert counters.reconciled(log, stored).first().balanced
 
 
-def test_batch_log(spark, logs, tmp_path):
-    query = start_ingest(stream_logs(spark, logs, 2), JOB, str(tmp_path / "t"), str(tmp_path / "s"), None)
-    query.awaitTermination()
-    log = batch_log(spark, query)
+def test_counters_tell_of_a_lost_file(spark, logs, tmp_path):
+    out = str(tmp_path / "t")
+    start_ingest(stream_logs(spark, logs, 2), JOB, out, str(tmp_path / "s"), None).awaitTermination()
+    log = batch_log(spark, out)
     assert log.count() == 3
     sums = log.agg(*[F.sum(c).alias(c) for c in log.columns]).first()
     assert sums.lines_read == 1000
     assert sums.lines_read == sums.parse_errors + sums.lines_filtered + sums.lines_processed
-
-
-def test_live_series_equal_the_batch_panels(spark, logs, tmp_path):
-    rows = JOB.run(stream_logs(spark, logs, 2))
+    assert counters.line_counters(log).first().lines_not_processed == 0
+    assert counters.reconciled(log, spark.read.parquet(out)).first().balanced
+    next((tmp_path / "t").rglob("part-*.parquet")).unlink()
+    assert not counters.reconciled(log, spark.read.parquet(out)).first().balanced
+
+
+def test_two_streams_sample_alike(spark, logs, tmp_path):
+    job = Ingest(LINE_FORMAT, rules=(Rule("status < 400", "drop", 0.5),))
+    tables = []
+    for run in "ab":
+        out = str(tmp_path / run)
+        start_ingest(stream_logs(spark, logs, 2), job, out, out + "-state", None).awaitTermination()
+        tables.append(spark.read.parquet(out))
+    assert 400 < tables[0].count() < 800
+    assert tables[0].exceptAll(tables[1]).count() == tables[1].exceptAll(tables[0]).count() == 0
+
+
+def test_live_series_equal_the_batch_panels(spark, logs, tmp_path, monkeypatch):
+    monkeypatch.setattr(live, "FOLD", 2)
+    rows = JOB.run(stream_logs(spark, logs, 1))
     out = str(tmp_path / "live")
-    start_live(live_traffic(rows, 3600, "40 days"), out, str(tmp_path / "s"), None).awaitTermination()
-    live = current(spark, out, ["time"]).select("time", "bytes_sent", F.round("avg", 9).alias("avg"))
+    live.start_live(rows, live.live_traffic, 3600, out, str(tmp_path / "s"), None).awaitTermination()
+    names = sorted(path.name.split("=")[0] for path in (tmp_path / "live").iterdir())
+    assert names == ["batch", "batch", "fold", "fold"]
+    found = live.current(spark, out)
+    got = found.select("time", "bytes_sent", F.round("avg", 9).alias("avg"))
     table = JOB.run(read_logs(spark, logs))
     want = panels.bandwidth_series(table, *SPAN, 3600).join(
         panels.latency_series(table, *SPAN, 3600), "time"
     ).select("time", "bytes_sent", F.round("avg", 9).alias("avg"))
-    assert live.exceptAll(want).count() == want.exceptAll(live).count() == 0
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_a_clock_in_the_future_shuts_out_nothing(spark, tmp_path):
+    schema = "TimeLocal timestamp_ntz, Status int, BytesSent bigint, RequestTime double"
+    land, out = tmp_path / "land", str(tmp_path / "live")
+    land.mkdir()
+    stream = spark.readStream.schema(schema).parquet(str(land))
+    for time, count in (("2034-01-01 00:00:00", 1), ("2024-01-01 00:00:00", 50)):
+        rows = spark.range(count).selectExpr(
+            f"timestamp_ntz'{time}' as TimeLocal", "200 as Status", "id as BytesSent", "0.5d as RequestTime"
+        )
+        rows.write.mode("append").parquet(str(land))
+        live.start_live(stream, live.live_traffic, 60, out, str(tmp_path / "s"), None).awaitTermination()
+    assert sorted(r.cnt for r in live.current(spark, out).collect()) == [1, 50]
 
 
 def tail(spark, path, out, state, **options):
@@ -115,6 +152,59 @@ def test_tail_follows_appends_rotation_and_truncation(spark, tmp_path):
     assert seen() == Counter(said)
 
 
+@pytest.mark.parametrize("name", ["access.log-20240101", "access.log.1"])
+def test_tail_rotation_by_name(spark, tmp_path, name):
+    log = tmp_path / "access.log"
+    at = (str(log), str(tmp_path / "out"), str(tmp_path / "state"))
+    log.write_text("one\ntwo\n")
+    assert tail(spark, *at) == Counter(["one", "two"])
+    with open(log, "a") as file:
+        file.write("three\n")
+    os.rename(log, tmp_path / name)
+    log.write_text("four\n")
+    assert tail(spark, *at) == Counter(["one", "two", "three", "four"])
+
+
+def test_tail_copy_and_truncate(spark, tmp_path):
+    log = tmp_path / "access.log"
+    at = (str(log), str(tmp_path / "out"), str(tmp_path / "state"))
+    log.write_text("one\ntwo\n")
+    assert tail(spark, *at) == Counter(["one", "two"])
+    with open(log, "a") as file:
+        file.write("three\n")
+    shutil.copy(log, tmp_path / "access.log.1")
+    # Between the copy and the emptying nothing comes twice.
+    assert tail(spark, *at) == Counter(["one", "two", "three"])
+    with open(log, "a") as file:
+        file.write("four\n")
+    shutil.copy(log, tmp_path / "access.log.1")
+    log.write_text("")
+    with open(log, "a") as file:
+        file.write("five\n")
+    assert tail(spark, *at) == Counter(["one", "two", "three", "four", "five"])
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_tail_lost_log_is_an_error(spark, tmp_path, packed):
+    log = tmp_path / "access.log"
+    at = (str(log), str(tmp_path / "out"), str(tmp_path / "state"))
+    log.write_text("one\n")
+    tail(spark, *at)
+    text = log.read_bytes() + b"two\n"
+    # The old file stays somewhere, so that its inode is not used again at once.
+    os.rename(log, tmp_path.parent / f"{tmp_path.name}-elsewhere")
+    if packed:
+        (tmp_path / "access.log.1.gz").write_bytes(gzip.compress(text))
+    log.write_text("three\n")
+    with pytest.raises(Exception, match="went away"):
+        tail(spark, *at)
+
+
+def test_tail_refuses_other_file_systems(spark, tmp_path):
+    with pytest.raises(Exception, match="absolute local path"):
+        tail(spark, "hdfs://host/access.log", str(tmp_path / "out"), str(tmp_path / "state"))
+
+
 def test_tail_start_positions(spark, tmp_path):
     log = tmp_path / "access.log"
     log.write_text("old 1\nold 2\n")
@@ -133,4 +223,4 @@ def test_batches_bounded_by_bytes(spark, logs, tmp_path):
     stream = stream_logs(spark, logs, max_bytes_per_trigger=1024)
     query = start_ingest(stream, JOB, str(tmp_path / "t"), str(tmp_path / "s"), None)
     query.awaitTermination()
-    assert batch_log(spark, query).count() == 6
+    assert batch_log(spark, str(tmp_path / "t")).count() == 6

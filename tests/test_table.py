@@ -36,24 +36,63 @@ def test_append_and_prune(spark, requests, tmp_path):
     assert january.first().total == want
 
 
-@pytest.mark.parametrize("layout", ["local", "range"])
-def test_files_are_sorted(spark, requests, tmp_path, layout):
-    path = str(tmp_path / layout)
-    sink.append(requests, path, layout, 4 if layout == "range" else None)
-    files = (tmp_path / layout).glob("month=*/*.parquet")
-    for file in files:
+def sorted_files(spark, folder):
+    for file in folder.glob("month=*/*/*.parquet"):
         rows = [(r.Status is not None, r.Status, r.TimeLocal)
                 for r in spark.read.parquet(str(file)).collect()]
         assert rows == sorted(rows, key=lambda r: (r[0], r[1] or 0, r[2]))
-    assert spark.read.parquet(path).count() == 4_000
 
 
-def test_a_crowded_second_still_splits(spark):
+def test_files_are_sorted(spark, requests, tmp_path):
+    path = str(tmp_path / "t")
+    sink.append(requests, path)
+    for batch in (3, 4):
+        sink.replace_batch(requests.limit(500), batch, path)
+    sorted_files(spark, tmp_path / "t")
+    sink.lay_out_month(spark.read.parquet(path), path, 202311, 4)
+    sorted_files(spark, tmp_path / "t")
+    assert len(list((tmp_path / "t").glob("month=202311/*/*.parquet"))) == 4
+    assert not (tmp_path / "t-month-202311").exists()
+    stored = spark.read.parquet(path)
+    assert stored.count() == 5_000 and stored.where("month = 202311 and batch_id >= 0").isEmpty()
+
+
+def test_a_crowded_second_still_splits(spark, tmp_path):
     same = spark.range(2_000).selectExpr(
         "timestamp_ntz'2024-01-01 00:00:00' as TimeLocal", "200 as Status", "id as BytesSent"
     )
-    parts = sink.laid_out(same, "range", 4).select(F.spark_partition_id()).distinct().count()
-    assert parts == 4
+    path = str(tmp_path / "t")
+    sink.append(same, path)
+    sink.lay_out_month(spark.read.parquet(path), path, 202401, 4)
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 4
+
+
+def test_one_table_for_streams_bulk_replay_and_expiry(spark, requests, tmp_path):
+    path = str(tmp_path / "t")
+    sink.replace_batch(requests, 0, path)
+    sink.append(requests, path)
+    # The replay has rows of one month only; those of the others go.
+    sink.replace_batch(requests.where("TimeLocal < '2023-12-01'"), 0, path)
+    stored = spark.read.parquet(path)
+    assert [r.month for r in stored.where("batch_id = 0").select("month").distinct().collect()] == [202311]
+    assert stored.where("batch_id = -1").count() == 4_000
+    retention.expire(spark, path, datetime(2024, 2, 10), 60)
+    assert spark.read.parquet(path).agg(F.min("month")).first()[0] == 202312
+
+
+def test_append_refuses_a_file_sink_table(spark, requests, tmp_path):
+    (tmp_path / "t" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="file-sink"):
+        sink.append(requests, str(tmp_path / "t"))
+
+
+def test_append_table(spark, requests):
+    sink.laid_out(requests).limit(0).write.mode("overwrite").saveAsTable("requests_table")
+    try:
+        sink.append_table(sink.laid_out(requests), "requests_table")
+        assert spark.table("requests_table").count() == 4_000
+    finally:
+        spark.sql("DROP TABLE requests_table")
 
 
 def test_replaced_batch(spark, requests, tmp_path):
