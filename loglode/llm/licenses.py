@@ -21,7 +21,7 @@ TEMPLATES = [
     (
         "mit",
         "permission is hereby granted free of charge to any person obtaining a copy of this software "
-        "and associated documentation files to deal in the software without restriction",
+        "and associated documentation files the software to deal in the software without restriction",
         "permission is hereby granted free of charge",
     ),
     (

@@ -85,7 +85,8 @@ def bucketed(rows: DataFrame) -> DataFrame:
     low, high = F.element_at(edges, cell).cast("double"), F.element_at(edges, cell + 1).cast("double")
     part = F.floor((id_ - low) / (high - low) * parts)
     part = F.greatest(F.lit(0), F.least(part, F.lit(parts - 1)))
-    return rows.withColumn("bucket", F.coalesce(cell.cast("long") * parts + part, F.lit(-1)))
+    place = cell.cast("long") * parts + part
+    return rows.withColumn("bucket", F.when(id_.isNull(), -1).otherwise(place))
 
 
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
