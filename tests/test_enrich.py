@@ -68,6 +68,7 @@ def test_agent_details(spark):
     assert (empty["bot"], empty["browser"], empty["device"]) == ("0", "", "unknown")
 
 
+# User agents and what must be found in them.
 AGENT_CASES = [
     ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) "
      "Chrome/120.0.0.0 Safari/537.36 Edg/120.0.2210.61", "0", "", "Edge", "120", "Windows", "desktop"),

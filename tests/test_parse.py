@@ -8,6 +8,7 @@ from loglode.operators.typed import cast_fields
 from loglode.sources.files import normalise, read_logs
 
 SHORT = '$remote_addr - $remote_user [$time_local] "$request" $status $body_bytes_sent'
+# Lines, JSON scalars and typed fields with the results they must give.
 GOOD = [
     '192.168.1.1 - frank [10/Oct/2000:13:55:36 -0700] "GET /index.html HTTP/1.0" 200 2326',
     '10.0.0.1 - - [10/Oct/2000:13:55:37 -0700] "POST /form HTTP/1.1" 301 512',
