@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loglode.llm.components import components
-from loglode.llm.shingles import mixed, shingle_sets
+from loglode.llm.shingles import few_rows, mixed, shingle_sets
 from loglode.llm.tables import ascii_lower, sized, stored
 
 #: Cells of the table of shingle counts, and cells in one row of it. The table has 8 MB at any
@@ -26,7 +26,7 @@ def signatures(words: int) -> Callable:
     """doc_id and text to doc_id, n_shingles and a 128-bit digest of the set (null if empty)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             sizes, digests = [], []
             for found in shingle_sets(batch["text"], words):
                 sizes.append(len(found))
@@ -48,7 +48,7 @@ def counts_in_task(words: int) -> Callable:
             for found in shingle_sets(batch["text"], words):
                 some.append(found)
                 size += len(found)
-                if size > 1_000_000:
+                if size > 250_000:
                     cells += counted(some)
                     some, size = [], 0
             if some:
@@ -96,7 +96,7 @@ def prefixes(words: int, percent: int, counts: Broadcast) -> Callable:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
-        for batch in batches:
+        for batch in few_rows(batches):
             sizes, rare, parts = [], [], []
             for found in shingle_sets(batch["text"], words):
                 n = len(found)
@@ -118,7 +118,7 @@ def prefixes(words: int, percent: int, counts: Broadcast) -> Callable:
 
 def sets_of(words: int) -> Callable:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches, 200):
             found = list(shingle_sets(batch["text"], words))
             sizes = pa.array(map(len, found), pa.int64())
             sets = pa.array([x.tobytes() for x in found], pa.binary())
@@ -221,15 +221,16 @@ def similar_links(
     counts = shingle_counts(texts, words)
     shape = "doc_id long, n long, prefix array<long>, parts binary"
     rare = stored(
-        texts.mapInArrow(prefixes(words, percent, counts), shape).join(classes, "doc_id", "left_semi"),
+        texts.mapInArrow(prefixes(words, percent, counts), shape).join(sized(classes), "doc_id", "left_semi"),
         "prefixes",
     )
     places = rare.select("doc_id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "shingle"))
-    hubs = places.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("members"), F.min(F.struct("at", "n", "doc_id")).alias("hub")
-    )
-    hubs = hubs.filter("members > 1").select("shingle", "hub")
-    lists = stored(places.join(hubs, "shingle"), "lists")
+    members = places.groupBy("shingle").agg(F.count(F.lit(1)).alias("members"))
+    shared = stored(members.filter("members > 1").select("shingle"), "shared")
+    # Most prefix shingles are in one document only and go here.
+    lists = stored(places.join(sized(shared), "shingle", "left_semi"), "places")
+    hubs = stored(lists.groupBy("shingle").agg(F.min(F.struct("at", "n", "doc_id")).alias("hub")), "hubs")
+    lists = stored(lists.join(hubs, "shingle"), "lists")
     to_hub = lists.filter("doc_id <> hub.doc_id").select(
         F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("at").alias("a_at"),
         F.col("hub.doc_id").alias("b"), F.col("hub.n").alias("b_n"), F.col("hub.at").alias("b_at"),
@@ -276,7 +277,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
         texts.mapInArrow(signatures(words), "doc_id long, n_shingles long, digest binary"), "signatures"
     )
     joined = rows.filter("doc_id is not null and digest is not null")
-    classes = joined.groupBy("digest").agg(F.min("doc_id").alias("class"))
+    # Stored, so that the join has a shuffle of its own, in which a large class is split.
+    classes = stored(joined.groupBy("digest").agg(F.min("doc_id").alias("class")), "digests")
     named = stored(joined.join(classes, "digest").select("doc_id", "class").distinct(), "classes")
     several = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
     same = named.join(several, "doc_id", "left_semi").select(

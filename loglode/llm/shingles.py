@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
-SLICE = 2 << 20
+SLICE = 1 << 19
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 FOLD = np.arange(256, dtype=np.uint8)
@@ -33,6 +33,13 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in shorter ones, so that what is made of one takes little memory."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def slices(offsets: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
     """Runs of rows of about ``most`` bytes."""
     first = 0
