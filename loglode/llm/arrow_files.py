@@ -12,6 +12,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from loglode.llm.shingles import few_rows
 from loglode.llm.tables import stored
 from loglode.llm.tokens import BYTE_BPE, encoded
 from loglode.session import fresh_dir
@@ -85,9 +86,7 @@ def write_part(folder: str, path: str, end: int, length: int, wide: bool) -> Cal
         store, place = fs.FileSystem.from_uri(folder)
         name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
         out = count = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in few_rows(batches):
             if out is None:
                 data = store.open_output_stream(f"{place}/{name}.arrows")
                 numbers = store.open_output_stream(f"{place}/{name}.docs.arrows")

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from loglode.llm.shingles import few_rows
 from loglode.llm.tokens import WORD_BPE, encoded
 
 LENGTH = 2048
@@ -26,7 +27,7 @@ def cut_tokens(path: str, longest: int, end: int) -> Callable:
     """A function from batches of doc_id and text to batches of pieces."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             rows: list[tuple] = []
             size = 0
             for doc, ids in zip(batch["doc_id"].to_pylist(), encoded(batch["text"], path)):
@@ -37,7 +38,7 @@ def cut_tokens(path: str, longest: int, end: int) -> Callable:
                     rows.append((doc, start, length, len(ids), piece))
                     start += length
                 size += len(ids)
-                if size >= 2_000_000:
+                if size >= 1_000_000:
                     yield made(rows)
                     rows, size = [], 0
             yield made(rows)

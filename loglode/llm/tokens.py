@@ -16,10 +16,10 @@ from loglode.llm.shingles import FOLD, buffers, slices
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-#: Most pieces of text that a worker keeps the ids of, some 150 MB; then it starts anew.
-KEPT = 800_000
+#: Most pieces of text that a worker keeps the ids of, some 40 MB; then it starts anew.
+KEPT = 200_000
 #: Bytes of text that are encoded together.
-TOGETHER = 8 << 20
+TOGETHER = 3 << 20
 #: White space other than a space and a line feed, and marks that some count as white space. A text
 #: with one of them is encoded as a whole.
 OTHER_SPACE = (
