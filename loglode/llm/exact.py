@@ -110,6 +110,8 @@ def exact_groups(docs: DataFrame, size: int = BLOCK) -> DataFrame:
         F.max(F.struct(F.col("doc_id"), F.col("row"))).alias("best"),
         F.count(F.lit(1)).alias("group_size"),
     )
+    # Stored, so that the join below has a shuffle of its own, in which a large group is split.
+    groups = stored(groups, "groups")
     return named.join(groups, ["blocks", "name"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
