@@ -67,7 +67,8 @@ def plain_fingerprint(hashes, window):
     return sorted((at, x) for at, x in chosen.items())
 
 
-def test_winnowing(spark):
+@pytest.mark.parametrize("window", [1, 4, 6])
+def test_winnowing(spark, window):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice("ab cd ef".split()) for _ in range(n))) for i, n in enumerate([1, 3, 5, 6, 9, 40, 300])]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -79,8 +80,8 @@ def test_winnowing(spark):
         "doc_id",
         F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - 3)), step).alias("h"),
     )
-    want = {r.doc_id: plain_fingerprint(r.h, 4) for r in hashed.collect()}
-    got = with_fingerprint(frame, "text", "f", 3, 4).collect()
+    want = {r.doc_id: plain_fingerprint(r.h, window) for r in hashed.collect()}
+    got = with_fingerprint(frame, "text", "f", 3, window).collect()
     assert {r.doc_id: [(x["at"], x["hash"]) for x in r.f] for r in got} == want
 
 
