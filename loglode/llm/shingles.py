@@ -49,11 +49,9 @@ def slices(offsets: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word, and at which word each text starts (with the end)."""
-    begin = int(offsets[0])
-    chars = FOLD[data[begin : int(offsets[-1])]]
-    bounds = offsets - begin
+def words_of(offsets: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash of each word, where it starts and its length; ``chars`` starts with the first text."""
+    bounds = offsets - int(offsets[0])
     solid = ~SPACE[chars]
     edge = np.zeros(len(chars) + 1, bool)
     edge[bounds] = True
@@ -61,7 +59,7 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
     after_gap[1:] = ~solid[:-1]
     starts = np.flatnonzero(solid & (after_gap | edge[:-1]))
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+        return np.zeros(0, np.uint64), starts, starts
     before_gap = np.ones(len(chars), bool)
     before_gap[:-1] = ~solid[1:]
     lengths = np.flatnonzero(solid & (before_gap | edge[1:])) + 1 - starts
@@ -72,7 +70,14 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
     powers = np.cumprod(powers, dtype=np.uint64)
     weighed = BYTE[chars[np.repeat(starts, lengths) + inside]] * powers[inside]
     hashes = np.add.reduceat(weighed, ends - lengths) + lengths.astype(np.uint64)
-    return mixed(hashes), np.searchsorted(starts, bounds)
+    return mixed(hashes), starts, lengths
+
+
+def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, and at which word each text starts (with the end)."""
+    chars = FOLD[data[int(offsets[0]) : int(offsets[-1])]]
+    hashes, starts, _ = words_of(offsets, chars)
+    return hashes, np.searchsorted(starts, offsets - int(offsets[0]))
 
 
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:

@@ -255,6 +255,21 @@ def test_kneser_ney(spark, monkeypatch, shard):
     assert all(got[i].kept for i in (0, 1, 2, 3, 4, 7, 8)) and len(got) == len(rows)
 
 
+def test_quality_sees_words(spark):
+    """The same ordinary words in another order are more surprising, though bytes alone hardly tell."""
+    rng = random.Random(4)
+    words = ["station" + "".join(rng.choices("bdfgklm", k=5)) + "station" for _ in range(6)]
+    trusted = [(i, " ".join(words[(start + j) % 6] for j in range(60)), "en") for i, start in enumerate(rng.choices(range(6), k=40))]
+    trusted = [(i, text + f" number{i}", lang) for i, text, lang in trusted]
+    tests = [(100, " ".join(words * 5), "en"), (101, " ".join(words[i] for i in (0, 3, 1, 5, 2, 4) * 5), "en")]
+    docs = spark.createDataFrame(trusted + tests, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    got = {r.row.doc_id: r for r in kneser_ney.judged(docs, labels).collect()}
+    ordered, mixed = got[100], got[101]
+    assert mixed.perplexity < 1.1 * ordered.perplexity and mixed.word_perplexity > 1.2 * ordered.word_perplexity
+    assert ordered.kept
+
+
 def test_quality_held_out(spark, small, empty):
     """Trained on half of the labels, it tells the junk of the other half."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
