@@ -30,6 +30,7 @@ DIGESTS = {32, 40, 56, 64, 96, 128}
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 #: Words, numbers and dates joined by - or _ are identifiers, paths or sentences, not secrets.
 IDENTIFIER = re.compile(r"([A-Za-z]+|[0-9]+)([-_/+=]+([A-Za-z]+|[0-9]+))*[-_/+=]*")
+LETTERS = re.compile("[A-Za-z]+")
 ROWS = "doc_id long, kinds array<string>, starts array<long>, ends array<long>"
 
 
@@ -47,16 +48,19 @@ def vocabulary(path: str):
 def looks_random(string: str, path: str, ratio: float) -> bool:
     """Few characters per token, and neither a known digest nor an identifier.
 
-    A random string mixes digits with letters; a number or a word alone is an identifier, and so
-    are such parts joined by signs, a UUID, and hexadecimal of the length of a digest.
+    A number alone is an identifier, and so are numbers and words joined by signs, a UUID, and
+    hexadecimal of the length of a digest. A word is one token or has ``ratio`` characters per token.
     """
-    if not (re.search("[0-9]", string) and re.search("[A-Za-z]", string)):
-        return False
-    if UUID.fullmatch(string) or IDENTIFIER.fullmatch(string):
+    if not LETTERS.search(string) or UUID.fullmatch(string):
         return False
     if len(string) in DIGESTS and DIGEST.fullmatch(string):
         return False
-    return len(string) < ratio * len(vocabulary(path).encode_ordinary(string))
+    tokens = vocabulary(path).encode_ordinary
+    if len(string) >= ratio * len(tokens(string)):
+        return False
+    if not IDENTIFIER.fullmatch(string):
+        return True
+    return any(len(part) < ratio * n for part in LETTERS.findall(string) if (n := len(tokens(part))) > 1)
 
 
 def spans(text: str, path: str, ratio: float) -> list[tuple[int, int, int]]:

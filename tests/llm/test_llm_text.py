@@ -56,6 +56,20 @@ def test_secrets(spark, small, empty):
     assert secrets.find_secrets(small).count() == len(ROWS) and secrets.find_secrets(empty).count() == 0
 
 
+def test_secrets_of_letters_alone():
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(rng.choices(letters, k=rng.randrange(20, 41))) for _ in range(300)]
+    joined = [f"{a[:20]}{sign}{b[:20]}" for a, b, sign in zip(keys, keys[1:], "-_" * 149)]
+    found = [secrets.looks_random(x, secrets.VOCABULARY, secrets.RATIO) for x in keys + joined]
+    assert sum(found) > 0.99 * len(found)
+    for name in (
+        "getElementsByTagNameFromDocument", "international-organization_settings", "12345678901234567890",
+        "2024-01-02-2024-01-03", "docs/2024-01-02/the-quick-brown-fox", "INTERNATIONAL_BUSINESS_MACHINES",
+    ):
+        assert not secrets.looks_random(name, secrets.VOCABULARY, secrets.RATIO), name
+
+
 def plain_fingerprint(hashes, window):
     """hash and place by the definition: of each window the least, the rightmost of equal ones."""
     chosen = {}
