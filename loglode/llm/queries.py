@@ -157,7 +157,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of all documents under models of trusted text, and which are kept."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     found = judged(documents(spark, sf_dir), labels)
-    return found.select("row.doc_id", "lang", "bytes", "perplexity", "word_perplexity", "limit", "kept")
+    return found.select("row.doc_id", *found.drop("row").columns)
 
 
 ORACLES["op7_exact_dedup"] = """

@@ -284,6 +284,14 @@ def test_quality_sees_words(spark):
     assert ordered.kept
 
 
+def test_quality_limit_is_a_quantile(spark):
+    """Of trusted documents one in a hundred lies beyond the limit; no margin is added."""
+    rows = [("en", 1000.0, 1000.0 + i, 1000.0 + i, 800) for i in range(1000)]
+    scores = spark.createDataFrame(rows, "lang string, nll double, held_nll double, word_nll double, bytes long")
+    found = scores.join(kneser_ney.limits(scores), "lang").select("limit", kneser_ney.excess().alias("excess"))
+    assert found.filter("excess > limit").count() in range(8, 11)
+
+
 def test_quality_held_out(spark, small, empty):
     """Trained on half of the labels, it tells the junk of the other half."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
