@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loglode.llm.arrow_files import read_documents, write_sequences
+from loglode.llm.cover_tree import nearest
 from loglode.llm.exact import exact_groups
+from loglode.llm.infill import infilled, restored
 from loglode.llm.jaccard import near_groups
 from loglode.llm.kneser_ney import judged
 from loglode.llm.language import document_rows, identify, page_rows
@@ -15,6 +17,7 @@ from loglode.llm.licenses import find_licences
 from loglode.llm.mixing import with_copies
 from loglode.llm.packing import packed
 from loglode.llm.secrets import find_secrets
+from loglode.llm.spelling import variants
 from loglode.llm.tables import documents
 from loglode.llm.winnowing import fingerprints, likeness, with_fingerprint, with_next, written
 
@@ -160,6 +163,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *found.drop("row").columns)
 
 
+@query("op11_fill_in_middle")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their middle moved, and put back from that."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return restored(infilled(docs)).select(
+        "row.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+@query("op12_exact_topk")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents and the form each is a variant of."""
+    return variants(documents(spark, sf_dir))
+
+
 ORACLES["op7_exact_dedup"] = """
 WITH texts AS (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -171,3 +201,52 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM texts
 WINDOW g AS (PARTITION BY t)
 """
+
+ORACLES["op11_fill_in_middle"] = """
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256(concat('1:', doc_id)) AS s FROM documents
+), cut AS (
+    SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u,
+           ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2,
+           ('0x' || s[17:24])::BIGINT AS h3, ('0x' || s[25:32])::BIGINT AS h4
+    FROM hashed
+), counted AS (
+    SELECT *, len(u) AS n,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                     OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM cut
+), placed AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b
+    FROM counted
+), parts AS (
+    SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+           array_to_string(u[b + 1:n], '') AS x
+    FROM placed
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN concat('<P>', p, '<S>', x, '<M>', m)
+                        ELSE concat('<S>', x, '<P>', p, '<M>', m) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+ORACLES["op12_exact_topk"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM usable AS q JOIN usable AS c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id, score
+FROM scored
+QUALIFY rank <= 5
+"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from loglode.session import fresh_dir
 
@@ -28,6 +29,14 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def wider(frame: DataFrame, **kinds: str) -> StructType:
+    """The frame's schema with more columns at its end."""
+    schema = StructType(list(frame.schema.fields))
+    for name, kind in kinds.items():
+        schema.add(name, kind)
+    return schema
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
