@@ -381,6 +381,41 @@ def _(spark, sf_dir):
     )
 
 
+@query("d05_equal_lines")
+def _(spark, sf_dir):
+    """One file that holds the same line for every event, sampled without a key, twice and by three ways.
+
+    A fair share is kept each time, and the second run keeps what the first kept.
+    """
+    spark.dataSource.register(TailSource)
+    line = '10.0.0.1 - - [01/Jan/2024:00:00:00 -0700] "GET /same HTTP/1.1" 200 1 "-" "-" 0.001'
+    logs = stored_lines(spark, events(spark, sf_dir).coalesce(1).select(F.lit(line).alias("value")))
+    total = spark.read.text(logs).count()
+    kept = Ingest(LINE_FORMAT, TABLE_COLUMNS, (Rule("status = 200", "keep", 0.5),))
+    left = Ingest(LINE_FORMAT, TABLE_COLUMNS, (Rule("status = 200", "drop", 0.5),))
+
+    def places(job: Ingest) -> DataFrame:
+        return job.judged(read_logs(spark, logs)).where("_kept").select("_file", "_at")
+
+    def streamed(lines: DataFrame, job: Ingest) -> int:
+        out = fresh_dir(spark, "table")
+        start_ingest(lines, job, out, out + "-state", None).awaitTermination()
+        return spark.read.parquet(out).count()
+
+    def tailed() -> DataFrame:
+        return _tail(spark, logs.removeprefix("file:") + "/*.txt", "earliest")
+
+    found = []
+    for name, job in (("keep", kept), ("drop", left)):
+        one, other = places(job), places(job)
+        found.append((f"batch {name}", one.distinct().count(), one.intersect(other).count()))
+    for way, source in (("landing", lambda: stream_logs(spark, logs)), ("tail", tailed)):
+        found.append((f"{way} keep", streamed(source(), kept), streamed(source(), kept)))
+    rows = spark.createDataFrame(found, "way string, kept bigint, again bigint")
+    fair = F.col("kept").between(int(0.3 * total), int(0.7 * total) + 1)
+    return rows.select("way", fair.alias("fair"), (F.col("kept") == F.col("again")).alias("same_again"))
+
+
 @query("d09_rule_validation")
 def _(spark, sf_dir):
     # Only the rules that pass the check are applied to the rows.

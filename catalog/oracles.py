@@ -184,6 +184,11 @@ expect(
     "d05_streamed_twice",
     """SELECT true AS sampled, count(*) FILTER (status >= 400) AS errors, CAST(0 AS BIGINT) AS in_one_only FROM g""",
 )
+expect(
+    "d05_equal_lines",
+    """SELECT way, count(*) > 0 AS fair, true AS same_again
+    FROM lines, unnest(['batch keep', 'batch drop', 'landing keep', 'tail keep']) AS w(way) GROUP BY way""",
+)
 expect(
     "c07_status_class_raw",
     """SELECT event_id, CASE WHEN left(CAST(k AS VARCHAR), 1) BETWEEN '1' AND '5'

@@ -63,6 +63,8 @@ RETENTION_DAYS = 180
 
 #: Column of the sources that holds the path of a line's file.
 FILE = "_file"
+#: Its place there, different for every line of a file; and where the part begins that one task reads.
+AT, BLOCK = "_at", "_block"
 
 
 def kind_of(field: str) -> str:

@@ -15,7 +15,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loglode.functions.typed import rule_value
-from loglode.model import kind_of
+from loglode.model import AT, FILE, kind_of
 
 
 @dataclass(frozen=True)
@@ -77,20 +77,38 @@ def survives(rule: Rule, position: int, key: Column) -> Column:
     return match.isNull() | (hit if rule.action == "keep" else ~hit)
 
 
+def row_name(parsed: DataFrame, key: str | None) -> Column:
+    """What tells the rows of ``parsed``, packed into ``_row``, apart for sampling.
+
+    That is the column ``key``; else the file and the place there that the sources give each line;
+    else, for rows of other origin, all their values and their number within the task. A stream cannot
+    number rows, so there equal ones share one fate.
+    """
+    if key:
+        return F.col(f"_row.{key}")
+    if AT in parsed.columns:
+        return F.xxhash64(*[f"_row.{name}" for name in (FILE, AT, "value") if name in parsed.columns])
+    if parsed.isStreaming:
+        return F.xxhash64("_row")
+    return F.xxhash64("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+
+
 def with_verdict(
     parsed: DataFrame, rules: list[Rule], fields: list[str], key: str | None = None
 ) -> DataFrame:
     """Add ``_kept``: whether the row passes every rule in turn.
 
-    ``key`` is a column that tells rows apart, for sampling; without it the whole row does, so that
-    equal lines of one file share one fate. Either way every run keeps the same rows.
+    ``key`` is a column that tells rows apart, for sampling; without it the line's place does
+    (``row_name``), so of equal lines a share is kept, and every run over the same files keeps the same.
     """
     # The original row is packed aside so that rule texts see the coerced fields only.
     staged = parsed.select(
         F.struct(*[F.col(name) for name in parsed.columns]).alias("_row"),
         *_rule_inputs(parsed, fields),
     )
-    name = F.col(f"_row.{key}") if key else F.xxhash64("_row")
+    name = F.col("_name")
+    if any(0 < rule.rate < 1 for rule in rules):
+        staged = staged.withColumn("_name", row_name(parsed, key))
     verdict = F.lit(True)
     for position, rule in enumerate(rules):
         verdict = verdict & survives(rule, position, name)

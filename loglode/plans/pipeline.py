@@ -27,8 +27,8 @@ DERIVED_FROM = {
 class Ingest:
     """What to read from a line and what to make of it.
 
-    ``log_format=None`` means one JSON object per line. Sampling tells lines apart by their file and
-    text, or by the input column ``sample_key``.
+    ``log_format=None`` means one JSON object per line. Sampling tells lines apart by their place in
+    their file, or by the input column ``sample_key``.
     """
 
     log_format: str | None = MAIN_FORMAT

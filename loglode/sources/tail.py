@@ -12,7 +12,7 @@ error.
 
 The driver and all executors must see the files under the same local path; other file systems are
 refused. Options: ``startingOffsets`` is ``earliest`` (default) or ``latest``; ``rangeBytes`` is the
-size of one task's share.
+size of one task's share. ``_at`` is the byte of its file where a line begins.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import os
 import zlib
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -46,7 +47,7 @@ class TailSource(DataSource):
         return "log_tail"
 
     def schema(self) -> str:
-        return "value string, _file string"
+        return "value string, _file string, _at bigint"
 
     def streamReader(self, schema) -> "TailReader":
         return TailReader(self.options)
@@ -140,10 +141,13 @@ def _batches(file, part: ByteRange, path: str):
             raise EOFError(f"log file {part.path!r} was cut short while it was read")
         if not block.endswith(b"\n"):
             block += file.readline()
+        lines = block.split(b"\n")[:-1]
+        ends = np.cumsum([len(line) + 1 for line in lines])
+        places = at + np.concatenate([[0], ends[:-1]]).astype(np.int64)
         at += len(block)
-        lines = block.decode("utf-8", "replace").split("\n")[:-1]
         names = pa.array([os.path.basename(path)] * len(lines), pa.string())
-        yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string()), "_file": names})
+        texts = pa.array([line.decode("utf-8", "replace") for line in lines], pa.string())
+        yield pa.RecordBatch.from_pydict({"value": texts, "_file": names, "_at": pa.array(places)})
 
 
 def watched(path: str, known: dict) -> dict[str, str]:

@@ -7,9 +7,11 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from loglode.model import BLOCK
 from loglode.operators.counters import counter_columns
 from loglode.operators.sink import replace_batch
 from loglode.plans.pipeline import Ingest
+from loglode.sources.files import with_place
 
 COUNTER_NAMES = ["lines_read", "parse_errors", "lines_filtered", "lines_processed"]
 BATCHES = {
@@ -46,6 +48,8 @@ def start_ingest(
 
     def write(batch: DataFrame, number: int) -> None:
         seen = Observation()
+        if BLOCK in batch.columns:
+            batch = with_place(batch)
         judged = ingest.judged(batch).observe(seen, *counter_columns())
         began = time.monotonic()
         replace_batch(ingest.rows(judged), number, path)

@@ -1,6 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from loglode.operators.rules import Rule, apply_rules, check_rules
+from loglode.sources.files import read_logs
+from loglode.sources.tail import TailSource
 
 FIELDS = ["status", "request", "request_time", "gzip_ratio"]
 
@@ -39,6 +42,33 @@ def test_columns_come_back_unchanged(spark):
     assert out.columns == rows.columns and tuple(out.first()) == (" 5 ", 1)
 
 
+def test_equal_lines_of_a_file(spark, tmp_path):
+    """A share of them is kept, the same lines each time, whatever else is read beside the file."""
+    (tmp_path / "access.log").write_text("200\n" * 10_000)
+    lines = read_logs(spark, str(tmp_path)).withColumn("status", F.col("value"))
+    rule = Rule("status = 200", "keep", 0.5)
+    one, other = [{r._at for r in apply_rules(lines, [rule], FIELDS).collect()} for _ in range(2)]
+    assert one == other and 4_500 < len(one) < 5_500
+    rows = spark.createDataFrame([("200",)] * 10_000, "status string")
+    assert 4_500 < apply_rules(rows, [rule], FIELDS).count() < 5_500
+
+
+def test_places_in_a_tailed_file(spark, tmp_path):
+    """``_at`` is the byte where a line begins, in whatever ranges the file is read."""
+    text = "".join(f"{'é' * (i % 7)} line {i % 3}\n" for i in range(500)).encode()
+    (tmp_path / "access.log").write_bytes(text)
+    spark.dataSource.register(TailSource)
+    stream = spark.readStream.format("log_tail").option("rangeBytes", 1000).load(str(tmp_path / "access.log"))
+    out = str(tmp_path / "out")
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-state").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    rows = spark.read.parquet(out).collect()
+    assert len({r._at for r in rows}) == 500
+    assert all(text[r._at :].startswith(r.value.encode() + b"\n") for r in rows)
+    assert all(r._at == 0 or text[r._at - 1 : r._at] == b"\n" for r in rows)
+
+
 @pytest.mark.parametrize("key", ["id", None])
 def test_sampling(spark, key):
     same = spark.range(10_000).selectExpr("id", "'200' as status")
