@@ -6,7 +6,7 @@ import glob
 import os
 import shutil
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -22,13 +22,14 @@ from loglode.operators.parse_json import parse_json
 from loglode.operators.quantiles import exact_quantiles, value_counts
 from loglode.operators.rules import Rule, apply_rules, check_rules, sampled
 from loglode.operators.typed import cast_fields
+from loglode.operators.versions import Versions
 from loglode.plans import panels
 from loglode.plans.pipeline import Ingest
 from loglode.session import configure, fresh_dir
 from loglode.sources.files import normalise, read_logs, stream_logs
 from loglode.sources.tail import TailSource
 from loglode.streaming.ingest import batch_log, start_ingest
-from loglode.streaming.live import current, live_status_classes, live_traffic, start_live
+from loglode.streaming.live import current, live_status_classes, live_tiers, live_traffic, start_live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -465,15 +466,12 @@ def _(spark, sf_dir):
 
 @query("e2_cadence")
 def _(spark, sf_dir):
-    # A batch each tenth of a second, one file of a day each: more than the progress list keeps here.
-    logs, out = _in_files(spark, sf_dir, 24), fresh_dir(spark, "table")
-    job, kept = Ingest(LINE_FORMAT, TABLE_COLUMNS), "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(kept, "100")
-    spark.conf.set(kept, "5")
+    # A batch each tenth of a second, one file of seven hours each: more than the progress list keeps.
+    logs, out = _in_files(spark, sf_dir, 7), fresh_dir(spark, "table")
+    job = Ingest(LINE_FORMAT, {"TimeLocal": "time_local", "Status": "status", "Request": "request"})
     run = start_ingest(stream_logs(spark, logs, 1), job, out, out + "-state", 0.1)
     run.processAllAvailable()
     run.stop()
-    spark.conf.set(kept, before)
     names = ("lines_read", "parse_errors", "lines_processed", "lines_stored")
     return batch_log(spark, out).agg(
         F.count(F.lit(1)).alias("batches"), *[F.sum(name).alias(name) for name in names]
@@ -521,6 +519,63 @@ def _(spark, sf_dir):
     )
 
 
+@query("e5_crashed_layout")
+def _(spark, sf_dir):
+    """A layout that stops before its commit, readers then, and the layout done again."""
+    path = _stored(spark, sf_dir)
+    commit = Versions.commit
+
+    def crash(self, *args, **options):
+        raise InterruptedError("stopped on purpose")
+
+    counts = []
+    try:
+        Versions.commit = crash
+        sink.lay_out_month(sink.read_table(spark, path), path, 202401, 4)
+    except InterruptedError:
+        counts.append(("crashed", sink.read_table(spark, path).count()))
+    finally:
+        Versions.commit = commit
+    sink.lay_out_month(sink.read_table(spark, path), path, 202401, 4)
+    counts.append(("again", sink.read_table(spark, path).count()))
+    return spark.createDataFrame(counts, "step string, stored bigint")
+
+
+@query("e3_readers")
+def _(spark, sf_dir):
+    """What a reader that began before a replay sees, and one that begins after it."""
+    out = fresh_dir(spark, "table")
+    early, rest = [
+        map_columns(split_valid(parse_text(part, LINE_FORMAT))[0], TABLE_COLUMNS)
+        for part in in_two(spark, sf_dir)
+    ]
+    sink.replace_batch(early, 0, out)
+    versions = Versions(spark, out)
+    old = sink.read_table(spark, out)
+    # The replay is committed; files of the version before stay for a while.
+    parts = versions.write(sink.laid_out(rest).withColumn("batch_id", F.lit(0)))
+    gone = versions.commit(parts, lambda part: part.batch == 0)
+    seen = [("before", old.count()), ("after", sink.read_table(spark, out).count())]
+    versions.remove(gone)
+    seen.append(("removed", sink.read_table(spark, out).count()))
+    return spark.createDataFrame(seen, "reader string, stored bigint")
+
+
+@query("e8_without_a_time")
+def _(spark, sf_dir):
+    """Rows without a time go by the day they were loaded; those with one by theirs."""
+    path = fresh_dir(spark, "table")
+    lost = F.when(F.col("Status") < 300, F.col("TimeLocal"))
+    sink.append(table(spark, sf_dir).withColumn("TimeLocal", lost), path)
+    loaded = datetime.now()
+    counts = []
+    for step, as_of in (("kept", loaded), ("expired", loaded + timedelta(days=400))):
+        retention.expire(spark, path, as_of, 180 if step == "expired" else 366 * 30)
+        parts = Versions(spark, path).state().parts
+        counts.append((step, sink.read_table(spark, path).count() if parts else 0))
+    return spark.createDataFrame(counts, "step string, stored bigint")
+
+
 @query("e6_date")
 def _(spark, sf_dir):
     dated = sink.with_date(table(spark, sf_dir))
@@ -631,6 +686,22 @@ def _(spark, sf_dir):
     )
 
 
+@query("f00_default_range")
+def _(spark, sf_dir):
+    """The last day of a table that also holds older months and a line dated years ahead."""
+    path = fresh_dir(spark, "table")
+    rows = table(spark, sf_dir)
+    older = rows.withColumn("TimeLocal", F.col("TimeLocal") - F.expr("interval 62 days"))
+    ahead = rows.limit(1).withColumn("TimeLocal", F.lit("2134-01-01").cast("timestamp_ntz"))
+    sink.append(rows.unionAll(older), path)
+    sink.append(ahead, path)
+    day = panels.stored_range(spark, path)
+    last = all("month=202401/" in name for name in day.inputFiles())
+    return day.agg(
+        F.count(F.lit(1)).alias("cnt"), F.max("TimeLocal").alias("newest"), F.lit(last).alias("one_month_read")
+    )
+
+
 @query("f00_stored_range")
 def _(spark, sf_dir):
     # The same range on the stored table, where the month prunes the folders to read.
@@ -741,6 +812,25 @@ def _close(name: str, share: float) -> Column:
     return (F.greatest(under - wanted, wanted - upto) <= 1 + F.max("cnt") / 100).alias(f"{name}_close")
 
 
+@query("h2_live_range")
+def _(spark, sf_dir):
+    """Two days of a live series of many batches, and how few folders they are read from."""
+    logs, out = _in_files(spark, sf_dir, 24), fresh_dir(spark, "live")
+    rows = Ingest(LINE_FORMAT, TABLE_COLUMNS).run(stream_logs(spark, logs, 1))
+    before = current_or_none(spark, out)
+    start_live(rows, live_status_classes, HOUR, out, out + "-state", None).awaitTermination()
+    few = len(live_tiers(spark, out).chosen()) <= 10
+    found = current(spark, out, "2024-01-08 00:00:00", "2024-01-09 23:00:00")
+    return found.select("*", F.lit(few).alias("few_folders"), F.lit(before is None).alias("none_before"))
+
+
+def current_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return current(spark, path)
+    except FileNotFoundError:
+        return None
+
+
 @query("h3_late_rows")
 def _(spark, sf_dir):
     # The later half of the month arrives first; the table still takes every early line.

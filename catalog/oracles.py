@@ -240,7 +240,7 @@ expect(
     "e2_cadence",
     """SELECT count(*) AS lines_read, count(*) FILTER (NOT good) AS parse_errors,
       count(*) FILTER (good) AS lines_processed, count(*) FILTER (good) AS lines_stored,
-      count(DISTINCT floor(epoch(ts) / 86400)) AS batches FROM lines""",
+      count(DISTINCT floor(epoch(ts) / 25200)) AS batches FROM lines""",
 )
 expect(
     "e3_replay",
@@ -278,7 +278,27 @@ expect(
       WHERE m >= TIMESTAMP '2023-12-01' GROUP BY 1""",
 )
 
+expect(
+    "e5_crashed_layout",
+    "SELECT step, count(*) AS stored FROM g, unnest(['crashed', 'again']) AS s(step) GROUP BY step",
+)
+expect(
+    "e3_readers",
+    """SELECT reader, count(*) FILTER ((ts < TIMESTAMP '2024-01-16') = (reader = 'before')) AS stored
+      FROM g, unnest(['before', 'after', 'removed']) AS s(reader) GROUP BY reader""",
+)
+expect(
+    "e8_without_a_time",
+    """SELECT step, count(*) FILTER (step = 'kept') AS stored
+      FROM g, unnest(['kept', 'expired']) AS s(step) GROUP BY step""",
+)
+
 # F
+expect(
+    "f00_default_range",
+    """SELECT count(*) AS cnt, max(t) AS newest, true AS one_month_read FROM g
+      WHERE t >= (SELECT max(t) FROM g) - INTERVAL 1 DAY""",
+)
 expect(
     "f00_time_range",
     """SELECT t AS "TimeLocal", addr AS "RemoteAddr", request AS "Request" FROM g
@@ -453,5 +473,10 @@ expect(
       true AS p95_close, true AS p99_close
     FROM w GROUP BY 1""",
 )
+expect(
+    "h2_live_range",
+    f"""SELECT *, true AS few_folders, true AS none_before FROM ({_CLASSES})
+      WHERE time BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-09 23:00:00'""",
+)
 expect("h3_late_rows", "SELECT CAST(t AS DATE) AS day, count(*) AS cnt FROM g GROUP BY 1")
 expect("h4_restart", f"SELECT {DATED} FROM g")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loglode.functions.text import request_method, request_target
 from loglode.operators.quantiles import exact_quantiles, sketch_quantiles, value_counts
+from loglode.operators.sink import newest, read_table
+from loglode.operators.versions import AHEAD
 
 # Yellow and red limits of the single-number panels.
 LIMITS = {"error_rate": (1.0, 5.0), "avg_time": (0.5, 1.0), "p95": (1.0, 3.0), "p99": (3.0, 10.0)}
@@ -23,24 +25,53 @@ def _moment(value) -> datetime:
 def in_range(table: DataFrame, start=None, end=None) -> DataFrame:
     """Rows with ``start <= TimeLocal <= end``; by default the 24 hours before ``end``.
 
-    The table holds the clocks of the logs, so without ``end`` the newest row sets it.
-
-    On a table partitioned by ``month`` the months outside the range are never listed or read.
+    The table holds the clocks of the logs, so without ``end`` the newest row sets it, of those that are
+    not dated in the future. On a table partitioned by ``month`` the months outside the range are never
+    listed or read. Where the table's path is known, ``stored_range`` needs no look at the rows.
     """
     if end is None:
-        end = table.agg(F.max("TimeLocal")).first()[0] or datetime.max
+        end = _newest(table) or datetime.now()
+    start, end = _ends(start, end)
+    rows = table.where(F.col("TimeLocal").between(_literal(start), _literal(end)))
+    if "month" in table.columns:
+        rows = rows.where(F.col("month").between(_month(start), _month(end)))
+    return rows
+
+
+def stored_range(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """The same rows of the table at a path, whose log tells the newest moment and the files to open."""
+    if end is None:
+        end = newest(spark, path) or datetime.now()
+    start, end = _ends(start, end)
+    return in_range(read_table(spark, path, (_month(start), _month(end))), start, end)
+
+
+def _ends(start, end) -> tuple[datetime, datetime]:
     end = _moment(end)
-    start = _moment(start) if start is not None else end - DEFAULT_RANGE
+    return _moment(start) if start is not None else end - DEFAULT_RANGE, end
 
-    def literal(moment: datetime) -> Column:
-        return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
-    rows = table.where(F.col("TimeLocal").between(literal(start), literal(end)))
-    if "month" in table.columns:
-        rows = rows.where(
-            F.col("month").between(start.year * 100 + start.month, end.year * 100 + end.month)
-        )
-    return rows
+def _literal(moment: datetime) -> Column:
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def _month(moment: datetime) -> int:
+    return moment.year * 100 + moment.month
+
+
+def _newest(table: DataFrame) -> datetime | None:
+    """The last time in a table that is not in the future; with months, only the last such one is read."""
+    limit = datetime.now() + AHEAD
+    rows = table.where(F.col("TimeLocal") <= _literal(limit))
+    if "month" not in table.columns:
+        return rows.agg(F.max("TimeLocal")).first()[0]
+    months = table.where(F.col("month") <= _month(limit))
+    while (last := months.agg(F.max("month")).first()[0]) is not None:
+        found = rows.where(F.col("month") == last).agg(F.max("TimeLocal")).first()[0]
+        if found is not None:
+            return found
+        months = months.where(F.col("month") < last)
+    return None
 
 
 def bucket(interval_s: int) -> Column:

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglode.plans.panels import bucket
-from loglode.sources.folders import Folders
 from loglode.streaming.ingest import cadence
+from loglode.streaming.tiers import Tiers
 
-#: Batches that are folded into one folder.
-FOLD = 50
+#: Folders of a tier that are folded into one.
+FOLD = 8
 #: Size parameter of the quantile sketches; ranks are off by well under one percent.
 SKETCH = 1_000
 
@@ -53,21 +53,24 @@ def merged(parts: DataFrame) -> DataFrame:
     return parts.groupBy(*[name for name in KEYS if name in parts.columns]).agg(*sums)
 
 
+def live_tiers(spark: SparkSession, path: str) -> Tiers:
+    return Tiers(spark, path, merge=lambda parts: merged(parts).orderBy("time"), fold=FOLD)
+
+
 def start_live(
     rows: DataFrame, build, interval_s: int, path: str, checkpoint: str, cadence_s: float | None = 30
 ) -> StreamingQuery:
     """Write the partial sums that ``build`` makes of each batch of table rows to ``path``.
 
-    A replayed batch replaces itself. Every FOLD batches the folders of the FOLD before are added up
-    into one, so readers open few. Those batches are done by then, and the fold is written beside
-    them before they go, under a name that makes readers pass over them.
+    A replayed batch replaces itself. Every FOLD batches are added up into one folder, every FOLD of
+    those into one again, and so on (``tiers``), in the order of time.
     """
+    tiers = live_tiers(rows.sparkSession, path)
+    empty = rows.sparkSession.createDataFrame([], rows.schema)
+    tiers.declare(build(empty, interval_s).schema)
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        build(batch, interval_s).write.mode("overwrite").parquet(f"{path}/batch={number:012d}")
-        if number and number % FOLD == 0:
-            fold(spark, path, number // FOLD - 1)
+        tiers.add(build(batch, interval_s), number)
 
     return (
         rows.writeStream.trigger(**cadence(cadence_s))
@@ -77,34 +80,22 @@ def start_live(
     )
 
 
-def fold(spark: SparkSession, path: str, number: int) -> None:
-    """Add up the batches of one run of FOLD; doing it again changes nothing."""
-    folders = Folders(spark, path)
-    inside = [name for name in folders.named("batch=") if _batch(name) // FOLD == number]
-    name = f"fold={number:012d}"
-    if inside and not folders.exists(f"{name}/_SUCCESS"):
-        parts = spark.read.parquet(*[f"{path}/{batch}" for batch in inside])
-        merged(parts).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
-    for batch in inside:
-        folders.remove(batch)
-
+def partials(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """All partial sums below ``path`` whose buckets begin from ``start`` to ``end``."""
+    parts = live_tiers(spark, path).frame()
+    for moment, within in ((start, F.col("time").__ge__), (end, F.col("time").__le__)):
+        if moment is not None:
+            # Folders are in the order of time, so the scan passes over what lies outside.
+            parts = parts.where(within(F.lit(str(moment)).cast("timestamp_ntz")))
+    return parts
 
-def _batch(name: str) -> int:
-    return int(name.partition("=")[2])
 
+def current(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """The series as it stands now, of the buckets that begin from ``start`` to ``end``.
 
-def partials(spark: SparkSession, path: str) -> DataFrame:
-    """All partial sums below ``path``: folded runs, and the batches that are in none of them."""
-    folders = Folders(spark, path)
-    folds = [name for name in folders.named("fold=") if folders.exists(f"{name}/_SUCCESS")]
-    done = {_batch(name) for name in folds}
-    rest = [name for name in folders.named("batch=") if _batch(name) // FOLD not in done]
-    return spark.read.parquet(*[f"{path}/{name}" for name in [*folds, *rest]])
-
-
-def current(spark: SparkSession, path: str) -> DataFrame:
-    """The series as it stands now."""
-    rows = merged(partials(spark, path))
+    A series without batches yet is empty and has its columns.
+    """
+    rows = merged(partials(spark, path, start, end))
     if "sketch" not in rows.columns:
         return rows
     total = F.greatest(F.col("cnt"), F.lit(1))

@@ -14,8 +14,10 @@ from loglode.plans.pipeline import Ingest
 from loglode.session import fresh_dir
 from loglode.sources.files import read_logs, stream_logs
 from loglode.sources.tail import TailSource
+from loglode.operators.versions import FOLD, Part, Versions
 from loglode.streaming import live
 from loglode.streaming.ingest import batch_log, start_ingest
+from loglode.streaming.tiers import Tiers
 
 SF_DIR = "/root/testdata/sf0.001"
 JOB = Ingest(LINE_FORMAT, rules=(Rule("status = 404", "drop"),))
@@ -85,8 +87,8 @@ def test_live_series_equal_the_batch_panels(spark, logs, tmp_path, monkeypatch):
     rows = JOB.run(stream_logs(spark, logs, 1))
     out = str(tmp_path / "live")
     live.start_live(rows, live.live_traffic, 3600, out, str(tmp_path / "s"), None).awaitTermination()
-    names = sorted(path.name.split("=")[0] for path in (tmp_path / "live").iterdir())
-    assert names == ["batch", "batch", "fold", "fold"]
+    # Six batches are read from two folders: one of four batches, one of two.
+    assert live.live_tiers(spark, out).chosen() == [(1, 2), (2, 0)]
     found = live.current(spark, out)
     got = found.select("time", "bytes_sent", F.round("avg", 9).alias("avg"))
     table = JOB.run(read_logs(spark, logs))
@@ -96,6 +98,67 @@ def test_live_series_equal_the_batch_panels(spark, logs, tmp_path, monkeypatch):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
 
+def test_live_range_and_empty_series(spark, tmp_path):
+    schema = "TimeLocal timestamp_ntz, Status int, BytesSent bigint, RequestTime double"
+    land, out = tmp_path / "land", str(tmp_path / "live")
+    land.mkdir()
+    stream = spark.readStream.schema(schema).parquet(str(land))
+    with pytest.raises(FileNotFoundError, match="no stream"):
+        live.current(spark, out)
+    live.start_live(stream, live.live_traffic, 60, out, str(tmp_path / "s"), None).awaitTermination()
+    empty = live.current(spark, out)
+    assert empty.count() == 0 and {"time", "cnt", "p95", "rps"} <= set(empty.columns)
+    rows = spark.range(100).selectExpr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id) as TimeLocal", "200 as Status",
+        "id as BytesSent", "0.5d as RequestTime"
+    )
+    rows.write.mode("append").parquet(str(land))
+    live.start_live(stream, live.live_traffic, 60, out, str(tmp_path / "s"), None).awaitTermination()
+    found = live.current(spark, out, "2024-01-02 00:00:00", "2024-01-02 03:00:00")
+    assert sorted(r.time.hour for r in found.collect()) == [0, 1, 2, 3]
+    assert "PushedFilters: [IsNotNull(time), GreaterThanOrEqual(time" in found._jdf.queryExecution().toString()
+
+
+def test_tiers_grow_with_the_logarithm(spark, tmp_path):
+    tiers = Tiers(spark, str(tmp_path / "t"), merge=lambda rows: rows, fold=3)
+    frame = spark.range(1)
+    for number in range(60):
+        tiers.add(frame.withColumn("batch", F.lit(number)), number)
+        assert len(tiers.chosen()) <= 2 * 4 and len(tiers.listed()) <= 2 * 3 * 4
+    # A replay of the last batch; a fold that is done again.
+    tiers.add(frame.withColumn("batch", F.lit(59)), 59)
+    tiers.fold_run(0, 19)
+    assert sorted(r.batch for r in tiers.frame().collect()) == list(range(60))
+
+
+def test_a_reader_in_time_misses_no_fold(spark, tmp_path):
+    tiers = Tiers(spark, str(tmp_path / "t"), merge=lambda rows: rows, fold=2)
+    for number in range(3):
+        tiers.add(spark.range(10), number)
+    before = tiers.frame()
+    tiers.add(spark.range(10), 3)
+    assert before.count() == 30 and tiers.frame().count() == 40
+
+
+def test_work_per_batch_is_constant(spark, tmp_path):
+    """What a batch opens and lists of the table's log does not grow over 200 batches."""
+    path = str(tmp_path / "t")
+    versions = Versions(spark, path)
+    reads = []
+    plain_read, plain_list = versions.folders.read, versions.folders.files_in
+    versions.folders.read = lambda name: reads.append(1) or plain_read(name)
+    versions.folders.files_in = lambda name: reads.extend(found := plain_list(name)) or found
+    work = []
+    for number in range(200):
+        reads.clear()
+        part = Part(f"month=202401/batch_id={number}", ("part-0.parquet",), 1, None, "2024-01-01 00:00:00")
+        versions.commit([part], lambda part: part.batch == number)
+        work.append(len(reads))
+    assert max(work[100:]) <= max(work[40:100]) <= 3 * (2 * FOLD + 4)
+    fresh = Versions(spark, path).state()
+    assert fresh.number == versions.state().number and len(fresh.parts) == 200
+
+
 def test_a_clock_in_the_future_shuts_out_nothing(spark, tmp_path):
     schema = "TimeLocal timestamp_ntz, Status int, BytesSent bigint, RequestTime double"
     land, out = tmp_path / "land", str(tmp_path / "live")
