@@ -86,7 +86,7 @@ def write_part(folder: str, path: str, end: int, length: int, wide: bool) -> Cal
         store, place = fs.FileSystem.from_uri(folder)
         name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
         out = count = None
-        for batch in few_rows(batches):
+        for batch in few_rows(batches, 2000):
             if out is None:
                 data = store.open_output_stream(f"{place}/{name}.arrows")
                 numbers = store.open_output_stream(f"{place}/{name}.docs.arrows")
@@ -137,7 +137,8 @@ def write_sequences(
     store.create_dir(place, recursive=True)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     order = ["doc_id", "text"]
-    ranged = texts.repartitionByRange("doc_id").sortWithinPartitions(*order)
+    # The beginning of the text spreads the rows that share a doc_id, in the same order.
+    ranged = texts.repartitionByRange("doc_id", F.substring("text", 1, 256)).sortWithinPartitions(*order)
     return stored(ranged.mapInArrow(write_part(folder, path, end, length, wide), MANIFEST), "manifest")
 
 
@@ -187,7 +188,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
     first = F.coalesce(F.sum("tokens").over(before), F.lit(0))
     files = stored(manifest.select("file", "part", first.alias("first")), "files")
     count = max(1, files.count())
-    return files.repartition(count, "part").mapInArrow(read_part, FOUND)
+    return files.repartitionByRange(count, "part").mapInArrow(read_part, FOUND)
 
 
 def sequences(name: str) -> pa.Table:

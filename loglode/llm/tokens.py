@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -16,10 +17,10 @@ from loglode.llm.shingles import FOLD, buffers, slices
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-#: Most pieces of text that a worker keeps the ids of, some 40 MB; then it starts anew.
-KEPT = 200_000
+#: Pieces of text in each of the two generations that a worker keeps the ids of, some 200 bytes each.
+KEPT = 500_000
 #: Bytes of text that are encoded together.
-TOGETHER = 3 << 20
+TOGETHER = 6 << 20
 #: White space other than a space and a line feed, and marks that some count as white space. A text
 #: with one of them is encoded as a whole.
 OTHER_SPACE = (
@@ -35,7 +36,7 @@ _kept: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """A tokenizer that keeps the ids of the pieces it has met more than once.
+    """A tokenizer that keeps the ids of the pieces it has met lately.
 
     Neither vocabulary has a token that reaches from text over the white space after it, nor from
     an ASCII letter to a full stop or the like. So a text may be cut there and encoded in pieces.
@@ -46,16 +47,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Strings that are one token of their own wherever they stand; a text with one is encoded as a whole.
+        own = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([OTHER_SPACE, *own])
         #: The vocabulary knows neither case nor white space.
         self.plain = self.whole(["Aa B\n\nc"])[0] == self.whole(["aa  b c"])[0]
         self.forget()
 
     def forget(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -75,27 +76,29 @@ class Encoder:
             else:
                 yield next(others)
 
-    def looked_up(self, pieces: list[str], counts: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Ids of all pieces in one array, and the start and length of each piece's own."""
-        if len(self.rows) > KEPT:
-            self.forget()
-        rows = np.fromiter((self.rows.get(piece, -1) for piece in pieces), np.int64, len(pieces))
-        new = np.flatnonzero(rows < 0)
-        found = list(self.pieces([pieces[i] for i in new]))
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
-        rows[new] = len(self.starts) + np.arange(len(new))
-        starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        lengths = np.concatenate([self.lengths, lengths])
-        flat = np.concatenate([self.flat, flat])
-        often = new[counts[new] > 1]
-        if len(often):
-            chosen = rows[often]
-            self.rows.update(zip((pieces[i] for i in often), range(len(self.starts), len(self.starts) + len(often)), strict=True))
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths[chosen]) - lengths[chosen]])
-            self.flat = np.concatenate([self.flat, gathered(flat, starts[chosen], lengths[chosen])])
-            self.lengths = np.concatenate([self.lengths, lengths[chosen]])
-        return flat, starts[rows], lengths[rows]
+    def looked_up(self, pieces: list[str]) -> tuple[np.ndarray, ...]:
+        """Ids of all pieces in one array, and the start and length of each piece's own.
+
+        Pieces are kept in two generations: what is met again while it is old becomes young again, and
+        when there are KEPT young ones the old ones go.
+        """
+        young, old = self.young, self.old
+        found = list(map(young.get, pieces))
+        new = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                piece = pieces[i]
+                ids = old.get(piece)
+                if ids is None:
+                    new.append(i)
+                else:
+                    young[piece] = found[i] = ids
+        for i, ids in zip(new, self.pieces([pieces[i] for i in new]), strict=True):
+            young[pieces[i]] = found[i] = array("I", ids).tobytes()
+        if len(young) > KEPT:
+            self.young, self.old = {}, young
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.uint32), np.cumsum(lengths) - lengths, lengths
 
     def texts(self, offsets: np.ndarray, data: np.ndarray) -> Iterator[np.ndarray]:
         """The ids of each text whose only white space are spaces and line feeds."""
@@ -115,8 +118,7 @@ class Encoder:
             len(begins) - 1, pa.py_buffer(begins), pa.py_buffer(np.ascontiguousarray(chars))
         ).dictionary_encode()
         at = pieces.indices.to_numpy(zero_copy_only=False)
-        counts = np.bincount(at, minlength=len(pieces.dictionary))
-        flat, starts, lengths = self.looked_up(pieces.dictionary.to_pylist(), counts)
+        flat, starts, lengths = self.looked_up(pieces.dictionary.to_pylist())
         ids = gathered(flat, starts[at], lengths[at])
         ends = np.concatenate([[0], np.cumsum(lengths[at])])[np.searchsorted(begins, bounds)]
         for start, end in zip(ends[:-1], ends[1:], strict=True):
@@ -141,7 +143,7 @@ def encoder(path: str) -> Encoder:
 def encoded(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
     """Ids of each text of a column; a null is an empty text."""
     own = encoder(path)
-    odd = pc.match_substring_regex(texts, OTHER_SPACE).fill_null(False)
+    odd = pc.match_substring_regex(texts, own.odd, ignore_case=True).fill_null(False)
     offsets, data = buffers(texts.filter(pc.invert(odd)))
     simple = (ids for a, b in slices(offsets, TOGETHER) for ids in own.texts(offsets[a : b + 1], data))
     whole = (own.whole([text])[0] for text in texts.filter(odd).to_pylist())

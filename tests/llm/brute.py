@@ -65,7 +65,6 @@ def components(docs, words, percent):
 
 def token_ids(texts, path, end):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     found = tokenizer.encode_batch([text or "" for text in texts], add_special_tokens=False)
     return [np.array([*x.ids, end], "<u4") for x in found]
 

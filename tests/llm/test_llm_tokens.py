@@ -19,7 +19,8 @@ PARTS = ["a", "B", " ", "\n", ".", ",", "'", "s", "é", "́", "1", "-", "\t", "
 def test_pieces_give_the_ids_of_the_whole(path):
     rng = random.Random(9)
     texts = ["".join(rng.choices(PARTS, k=rng.randrange(30))) for _ in range(4000)]
-    texts += [None, "<|endoftext|> x", "don't WE'LL.ok", *[row[1] for row in ROWS]]
+    texts += ["".join(rng.choices([*PARTS, "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>"], k=9)) for _ in range(500)]
+    texts += [None, "<|endoftext|> x", "x <|endoftext|> y", "x <|EndOfText|> y", "don't WE'LL.ok", *[row[1] for row in ROWS]]
     want = [ids[:-1].tolist() for ids in brute.token_ids(texts, path, 0)]
     assert [ids.tolist() for ids in encoded(pa.array(texts), path)] == want
 
@@ -74,3 +75,19 @@ def test_null_id_comes_first(spark):
     frame = spark.createDataFrame([(5, "b"), (None, "a")], "doc_id bigint, text string")
     got = sorted(read_documents(write_sequences(frame)).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == [None, 5]
+
+
+def test_special_strings_are_the_tokens_they_name():
+    ids = [x.tolist() for x in encoded(pa.array(["x <|endoftext|> y", "x <|endoftext| > y"]), BYTE_BPE)]
+    assert 50256 in ids[0] and 50256 not in ids[1]
+
+
+def test_rows_that_share_a_doc_id_are_several_files(spark):
+    rows = spark.range(0, 400, 1, 4).selectExpr("7L as doc_id", "concat(cast(id as string), repeat(' x', 50)) as text")
+    # Else Spark joins ranges as short as these.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = write_sequences(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.count() > 1 and read_documents(manifest).count() == 400
