@@ -29,7 +29,17 @@ from loglode.session import configure, fresh_dir
 from loglode.sources.files import normalise, read_logs, stream_logs
 from loglode.sources.tail import TailSource
 from loglode.streaming.ingest import batch_log, start_ingest
-from loglode.streaming.live import current, live_status_classes, live_tiers, live_traffic, start_live
+from loglode.streaming.live import (
+    current,
+    current_reuse,
+    current_top,
+    live_agents,
+    live_status_classes,
+    live_tiers,
+    live_tops,
+    live_traffic,
+    start_live,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -824,6 +834,40 @@ def _(spark, sf_dir):
     return found.select("*", F.lit(few).alias("few_folders"), F.lit(before is None).alias("none_before"))
 
 
+@query("h2_live_tops")
+def _(spark, sf_dir):
+    """The three top lists of a stream, from its sketches and a recount of their candidates."""
+    logs, out = _in_files(spark, sf_dir, 240), fresh_dir(spark, "live")
+    rows = Ingest(LINE_FORMAT, TABLE_COLUMNS).run(stream_logs(spark, logs, 1))
+    start_live(rows, live_tops, 24 * HOUR, out, out + "-state", None).awaitTermination()
+    lists = [
+        current_top(spark, out, table(spark, sf_dir), name, 24 * HOUR, *_SPAN)
+        .select(F.lit(name).alias("kind"), F.col(name).alias("key"), "cnt", "rank", "sure")
+        for name in ("url", "ip", "ua")
+    ]
+    return lists[0].unionAll(lists[1]).unionAll(lists[2])
+
+
+@query("g6_live_reuse")
+def _(spark, sf_dir):
+    """Agents of a stream by sketches: exact counts, and whether the estimates are right to two percent."""
+    logs, out = _in_files(spark, sf_dir, 240), fresh_dir(spark, "live")
+    columns = {"TimeLocal": "time_local", "HttpUserAgent": "http_user_agent", "IsBot": "_is_bot"}
+    rows = Ingest(LINE_FORMAT, columns).run(stream_logs(spark, logs, 1))
+    start_live(rows, live_agents, 24 * HOUR, out, out + "-state", None).awaitTermination()
+    exact = agent_table(spark, sf_dir)
+    reuse, bots = counters.agent_reuse(exact), counters.bot_counters(exact)
+    found = current_reuse(spark, out).withColumnRenamed("misses", "about").withColumnRenamed("bot_agents", "bots")
+    # Single rows.
+    both = found.drop("hits", "hit_ratio").join(reuse).join(bots.select("bot_agents"))
+    return both.select(
+        (F.col("hits") + F.col("misses")).alias("lookups"),
+        "bot_requests",
+        (F.abs(F.col("about") - F.col("misses")) <= 0.02 * F.col("misses")).alias("agents_close"),
+        (F.abs(F.col("bots") - F.col("bot_agents")) <= 0.02 * F.col("bot_agents")).alias("bots_close"),
+    )
+
+
 def current_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return current(spark, path)

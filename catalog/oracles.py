@@ -478,5 +478,11 @@ expect(
     f"""SELECT *, true AS few_folders, true AS none_before FROM ({_CLASSES})
       WHERE time BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-09 23:00:00'""",
 )
+ORACLES["h2_live_tops"] = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, {kind} AS key, cnt, rank, true AS sure FROM ({ORACLES[name]})"
+    for kind, name in (("url", "f13_top_urls"), ("ip", "f14_top_clients"), ("ua", "f15_top_agents"))
+)
+ORACLES["g6_live_reuse"] = f"""SELECT hits + misses AS lookups, bot_requests, true AS agents_close, true AS bots_close
+    FROM ({ORACLES["g6_agent_reuse"]}), ({ORACLES["g5_bots"]})"""
 expect("h3_late_rows", "SELECT CAST(t AS DATE) AS day, count(*) AS cnt FROM g GROUP BY 1")
 expect("h4_restart", f"SELECT {DATED} FROM g")

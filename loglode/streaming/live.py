@@ -6,15 +6,27 @@ late it comes, and a row with a clock in the future has a bucket of its own and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loglode.plans.panels import bucket
+from loglode.functions.text import request_target
+from loglode.plans.panels import TOP, bucket, in_range, ranked
 from loglode.streaming.ingest import cadence
 from loglode.streaming.tiers import Tiers
 
 #: Folders of a tier that are folded into one.
 FOLD = 8
+#: Keys that a sketch of a top list tracks, and those of them that are counted again.
+TRACKED, CANDIDATES = 10_000, 1_000
+#: Size parameter of the sketches of different values; they are off by about one percent.
+DISTINCT = 14
+TOP_KEYS = {
+    "url": lambda: request_target(F.col("Request")),
+    "ip": lambda: F.col("RemoteAddr"),
+    "ua": lambda: F.col("HttpUserAgent"),
+}
 #: Size parameter of the quantile sketches; ranks are off by well under one percent.
 SKETCH = 1_000
 
@@ -40,17 +52,48 @@ def live_status_classes(rows: DataFrame, interval_s: int) -> DataFrame:
     )
 
 
+def live_tops(rows: DataFrame, interval_s: int) -> DataFrame:
+    """Per bucket the requests, and sketches of the most frequent targets, clients and agents.
+
+    A sketch tracks up to TRACKED keys; a count is off by 2.7 requests in TRACKED at most.
+    """
+    keys = rows.select("TimeLocal", *[key().alias(name) for name, key in TOP_KEYS.items()])
+    sketches = [F.expr(f"approx_top_k_accumulate({name}, {TRACKED})").alias(f"top_{name}") for name in TOP_KEYS]
+    return keys.groupBy(bucket(interval_s), F.lit(interval_s).alias("interval_s")).agg(
+        F.count(F.lit(1)).alias("cnt"), *sketches
+    )
+
+
+def live_agents(rows: DataFrame, interval_s: int) -> DataFrame:
+    """Per bucket the requests with a user agent and those of bots, and sketches of the different agents."""
+    agent, bot = F.col("HttpUserAgent"), F.col("IsBot") == 1
+    known = F.when(~agent.isin("", "-"), agent)
+    return rows.groupBy(bucket(interval_s), F.lit(interval_s).alias("interval_s")).agg(
+        F.count(known).alias("lookups"),
+        F.count_if(bot).alias("bot_requests"),
+        F.hll_sketch_agg(known, DISTINCT).alias("distinct_agents"),
+        F.hll_sketch_agg(F.when(bot, agent), DISTINCT).alias("distinct_bots"),
+    )
+
+
 KEYS = ["time", "interval_s", "status_class"]
 
 
+def added_up(name: str) -> Column:
+    """The aggregate that adds up a column of partial sums; its name tells the kind."""
+    if name == "sketch":
+        return F.kll_merge_agg_double(name, SKETCH).alias(name)
+    if name.startswith("top_"):
+        return F.expr(f"approx_top_k_combine({name}, {TRACKED})").alias(name)
+    if name.startswith("distinct_"):
+        return F.hll_union_agg(name).alias(name)
+    return F.sum(name).alias(name)
+
+
 def merged(parts: DataFrame) -> DataFrame:
     """Partial sums added up, one row per bucket."""
-    sums = [
-        F.kll_merge_agg_double(name, SKETCH).alias(name) if name == "sketch" else F.sum(name).alias(name)
-        for name in parts.columns
-        if name not in (*KEYS, "batch_id")
-    ]
-    return parts.groupBy(*[name for name in KEYS if name in parts.columns]).agg(*sums)
+    keys = [name for name in KEYS if name in parts.columns]
+    return parts.groupBy(*keys).agg(*[added_up(name) for name in parts.columns if name not in keys])
 
 
 def live_tiers(spark: SparkSession, path: str) -> Tiers:
@@ -113,3 +156,46 @@ def current(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
         "bytes_sent",
         (F.col("cnt") / F.col("interval_s")).alias("rps"),
     )
+
+
+def current_top(
+    spark: SparkSession, path: str, table: DataFrame, name: str, interval_s: int, start: str, end: str, top: int = TOP
+) -> DataFrame:
+    """The ``top`` most frequent urls, ips or uas of the range, exactly counted, with ``rank`` and ``sure``.
+
+    The sketches below ``path`` name CANDIDATES keys, and only their rows of the table are counted: no
+    shuffle of all keys. ``sure`` tells that no other key can have as many requests as the last one
+    listed: what the sketches say of other keys, with their error, is less, or they hold every key.
+    """
+    first = datetime.fromisoformat(start) - timedelta(seconds=interval_s)
+    parts = partials(spark, path, first, end)
+    # By a key that is the same everywhere: without one, a task that has no rows fails on its sketch.
+    sums = parts.groupBy(F.lit(0).alias("all")).agg(F.sum("cnt").alias("cnt"), added_up(f"top_{name}").alias("top"))
+    found = sums.select("cnt", F.expr(f"approx_top_k_estimate(top, {CANDIDATES})").alias("keys")).first()
+    keys = [(row.item, row["count"]) for row in found["keys"]] if found else []
+    chosen = spark.createDataFrame([(key,) for key, _ in keys], f"{name} string")
+    rows = in_range(table, start, end).select(TOP_KEYS[name]().alias(name))
+    order = [F.desc("cnt"), F.col(name)]
+    counted = rows.join(F.broadcast(chosen), name).groupBy(name).agg(F.count(F.lit(1)).alias("cnt"))
+    listed = ranked(counted.orderBy(*order).limit(top), *order)
+    # Fewer keys than were asked for are all there are.
+    others = max(keys[-1][1], 2.7 * found.cnt / TRACKED) if len(keys) == CANDIDATES else 0
+    return listed.withColumn("sure", F.lit(len(keys) < CANDIDATES) | (F.col("cnt") > others))
+
+
+def current_reuse(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """How often a request repeats a user agent already seen, and what bots did, from sketches alone.
+
+    ``lookups`` and ``bot_requests`` are exact; ``misses`` and ``bot_agents``, the different agents, are
+    estimates, so no distinct over all rows is needed.
+    """
+    parts = partials(spark, path, start, end)
+    sums = parts.agg(*[added_up(name) for name in parts.columns if name not in KEYS])
+    known = F.least(F.hll_sketch_estimate("distinct_agents"), F.col("lookups"))
+    return sums.select("lookups", known.alias("misses"), "bot_requests", F.hll_sketch_estimate("distinct_bots").alias("bot_agents")).select(
+        (F.col("lookups") - F.col("misses")).alias("hits"),
+        "misses",
+        F.try_divide(F.col("lookups") - F.col("misses"), F.col("lookups")).alias("hit_ratio"),
+        "bot_requests",
+        "bot_agents",
+    )

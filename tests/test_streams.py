@@ -119,6 +119,35 @@ def test_live_range_and_empty_series(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(time), GreaterThanOrEqual(time" in found._jdf.queryExecution().toString()
 
 
+def test_live_tops_and_agents(spark, tmp_path, monkeypatch):
+    """Few tracked keys: the heavy ones are found and counted exactly, and ``sure`` tells when."""
+    monkeypatch.setattr(live, "TRACKED", 100)
+    monkeypatch.setattr(live, "CANDIDATES", 20)
+    rows = spark.range(20_000).selectExpr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id % 48) as TimeLocal",
+        "concat('GET /', case when id % 10 < 4 then cast(id % 10 as string) when id % 10 < 9 then 'hot' else cast(id as string) end) as Request",
+        "concat('10.0.0.', id) as RemoteAddr", "concat('agent ', id % 300) as HttpUserAgent",
+        "cast(id % 300 < 30 as int) as IsBot",
+    )
+    land, out = str(tmp_path / "land"), str(tmp_path / "live")
+    rows.repartition(4).write.parquet(land)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(land)
+    for build in (live.live_tops, live.live_agents):
+        path = f"{out}-{build.__name__}"
+        live.start_live(stream, build, 3600, path, path + "-state", None).awaitTermination()
+    span = ("2024-01-01 00:00:00", "2024-01-03 00:00:00")
+    got = live.current_top(spark, f"{out}-live_tops", rows, "url", 3600, *span, top=4)
+    want = [("/hot", 10_000), ("/0", 2_000), ("/1", 2_000), ("/2", 2_000)]
+    assert [(r.url, r.cnt) for r in got.orderBy("rank").collect()] == want
+    assert all(r.sure for r in got.collect())
+    every = live.current_top(spark, f"{out}-live_tops", rows, "ip", 3600, *span)
+    assert not any(r.sure for r in every.collect())
+    none = live.current_top(spark, f"{out}-live_tops", rows, "ip", 3600, "2034-01-01", "2034-01-02")
+    assert none.count() == 0
+    reuse = live.current_reuse(spark, f"{out}-live_agents").first()
+    assert abs(reuse.misses - 300) <= 6 and reuse.bot_requests == 2_010 and abs(reuse.bot_agents - 30) <= 1
+
+
 def test_tiers_grow_with_the_logarithm(spark, tmp_path):
     tiers = Tiers(spark, str(tmp_path / "t"), merge=lambda rows: rows, fold=3)
     frame = spark.range(1)
