@@ -22,11 +22,12 @@ def parse_json(lines: DataFrame, fields: list[str], column: str = "value") -> Da
         box, "$[2]", "variant"
     ).isNull()
     # What parses and opens with a brace is an object; a bare null is an entry without fields.
-    good = F.coalesce(alone & line.rlike(r"^\s*(?:\{|null\s*$)"), F.lit(False))
+    opens = F.startswith(line, F.lit("{")) | line.rlike(r"^\s*(?:\{|null\s*$)")
+    good = F.coalesce(alone & opens, F.lit(False))
     texts = F.array(*[F.try_variant_get(box, _path(name), "string") for name in fields])
     staged = boxed.select("*", good.alias("_good"))
     staged = staged.select("*", F.when(F.col("_good"), texts).alias("_texts"))
-    staged = staged.select("*", log_texts(box, fields).alias("_fields"))
+    staged = staged.select("*", log_texts(line, box, fields).alias("_fields"))
     return staged.select(
         *lines.columns,
         *[F.get("_fields", F.lit(i)).alias(name) for i, name in enumerate(fields)],
@@ -40,19 +41,17 @@ def _path(key: str) -> str:
     return f"$[0]['{key}']"
 
 
-def log_texts(box: Column, fields: list[str]) -> Column:
+def log_texts(line: Column, box: Column, fields: list[str]) -> Column:
     """The plain texts of all fields, the way a log field is written.
 
     Whole numbers lose their fraction, exponents are written out and null is ``''``. Objects and
     arrays stay JSON text, with ``<``, ``>`` and ``&`` escaped.
     """
-    # Only these texts can need another form; the type tells them from equal-looking strings.
-    doubtful = F.expr(
-        " OR ".join(
-            rf"_texts[{i}] IS NULL OR _texts[{i}] RLIKE r'^[\[{{]|\.0$|[0-9]E-?[0-9]+$'"
-            for i in range(len(fields))
-        )
-    )
+    # Only in such lines can a text need another form: where a key is absent or null, something is nested,
+    # or a number has an exponent or more digits than a decimal holds. One look at the line tells.
+    missing = F.expr(" OR ".join(f"_texts[{i}] IS NULL" for i in range(len(fields))))
+    nested = F.contains(line, F.lit("[")) | (F.locate("{", line, 2) > 0)
+    doubtful = missing | nested | line.rlike(r"[:,]\s*-?[0-9.]*(?:[0-9][eE]|[0-9.]{30})")
     kinds = F.array(
         *[F.schema_of_variant(F.try_variant_get(box, _path(name), "variant")) for name in fields]
     )
