@@ -151,13 +151,13 @@ def test_live_tops_and_agents(spark, tmp_path, monkeypatch):
 def test_tiers_grow_with_the_logarithm(spark, tmp_path):
     tiers = Tiers(spark, str(tmp_path / "t"), merge=lambda rows: rows, fold=3)
     frame = spark.range(1)
-    for number in range(60):
+    for number in range(30):
         tiers.add(frame.withColumn("batch", F.lit(number)), number)
         assert len(tiers.chosen()) <= 2 * 4 and len(tiers.listed()) <= 2 * 3 * 4
     # A replay of the last batch; a fold that is done again.
-    tiers.add(frame.withColumn("batch", F.lit(59)), 59)
-    tiers.fold_run(0, 19)
-    assert sorted(r.batch for r in tiers.frame().collect()) == list(range(60))
+    tiers.add(frame.withColumn("batch", F.lit(29)), 29)
+    tiers.fold_run(0, 9)
+    assert sorted(r.batch for r in tiers.frame().collect()) == list(range(30))
 
 
 def test_a_reader_in_time_misses_no_fold(spark, tmp_path):
