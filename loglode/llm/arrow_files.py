@@ -138,7 +138,7 @@ def write_sequences(
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     order = ["doc_id", "text"]
     # The beginning of the text spreads the rows that share a doc_id, in the same order.
-    ranged = texts.repartitionByRange("doc_id", F.substring("text", 1, 256)).sortWithinPartitions(*order)
+    ranged = texts.repartitionByRange("doc_id", F.substring("text", 1, 16)).sortWithinPartitions(*order)
     return stored(ranged.mapInArrow(write_part(folder, path, end, length, wide), MANIFEST), "manifest")
 
 
