@@ -208,11 +208,11 @@ def test_page_evidence(spark):
     assert [got[i] for i in (50, 51, 52, 53)] == ["de", "de", "en", "en"]
 
 
-def plain_model(texts, order):
-    """Interpolated modified Kneser-Ney by the definition: a function (context, byte) -> p."""
+def plain_model(texts, order, base=1 / 256):
+    """Interpolated modified Kneser-Ney by the definition: n-gram of bytes, or tuple of words, to p."""
     counts = {order: Counter()}
     for text in texts:
-        data = bytes(order - 1) + text.encode()
+        data = bytes(order - 1) + text.encode() if isinstance(text, str) else ("",) * (order - 1) + text
         counts[order].update(data[i : i + order] for i in range(len(data) - order + 1))
     for size in range(order - 1, 0, -1):
         counts[size] = Counter(gram[1:] for gram in counts[size + 1])
@@ -230,7 +230,7 @@ def plain_model(texts, order):
 
     def p(gram):
         if not gram:
-            return 1 / 256
+            return base
         size = len(gram)
         same = groups[size].get(gram[:-1])
         if not same:
@@ -269,6 +269,70 @@ def test_kneser_ney(spark, monkeypatch, shard):
     assert all(got[i].kept for i in (0, 1, 2, 3, 4, 7, 8)) and len(got) == len(rows)
 
 
+def test_words_limit_and_kept(spark):
+    """Held-out perplexities by bytes and words, the limit and what is kept, by their definitions."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("the cat sat on a mat and dog log".split(), k=9)) for _ in range(12)]
+    tests = ["the cat sat on the log", "zzz the qqq mat", "é cat", "dog dog dog dog " * 40]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts + tests)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(12)], "doc_id bigint, quality int, toxic int")
+    fold = {r.doc_id: r.fold for r in kneser_ney.texts_of(docs, F.col("doc_id")).collect()}
+    assert {fold[i] for i in range(12)} == {0, 1}
+    order, words = kneser_ney.ORDER, kneser_ney.WORDS
+    kinds = {}
+    for own in (0, 1):
+        others = [t for i, t in enumerate(texts) if fold[i] != own]
+        split = [tuple(t.split()) for t in others]
+        kinds[own] = (
+            plain_model(others, order), plain_model(split, words, 0.0), plain_model(split, words, 1.0),
+            {word for text in split for word in text},
+        )
+
+    def surprises(text, own):
+        by_byte, known, unknown, vocabulary = kinds[own]
+        data = text.encode()
+        padded = bytes(order - 1) + data
+        each = [-math.log(by_byte(padded[i : i + order])) for i in range(len(data))]
+        held, more = sum(each), 0.0
+        before = ("",) * (words - 1) + tuple(text.split())
+        for at, match in enumerate(re.finditer(rb"[^ ]+", data)):
+            gram = before[at : at + words]
+            seen = gram[-1] in vocabulary
+            more -= math.log((known if seen else unknown)(gram))
+            more -= sum(each[match.start() : match.end() + 1]) if seen else 0
+        return held, held + more, len(data)
+
+    found = [surprises(t, fold[i]) for i, t in enumerate(texts + tests)]
+    size = sum(x[2] for x in found[:12])
+    means = [sum(x[k] for x in found[:12]) / size for k in (0, 1)]
+    prior = kneser_ney.PRIOR
+    logs = [[(x[k] + prior * means[k]) / (x[2] + prior) for k in (0, 1)] for x in found]
+    excess = [max(one[k] - means[k] for k in (0, 1)) for one in logs]
+    # Of twelve the quantile is the largest, rounded up to a step.
+    limit = (math.floor(max(excess[:12]) / kneser_ney.STEP) + 1) * kneser_ney.STEP
+    got = {r.row.doc_id: r for r in kneser_ney.judged(docs, labels).collect()}
+    for i, (held, word) in enumerate(logs):
+        assert got[i].held_perplexity == pytest.approx(math.exp(held), rel=1e-4)
+        assert got[i].word_perplexity == pytest.approx(math.exp(word), rel=1e-4)
+        assert got[i].excess == pytest.approx(math.exp(excess[i]), rel=1e-4)
+        assert got[i].limit == pytest.approx(math.exp(limit), rel=1e-4)
+        assert got[i].kept == (excess[i] <= limit)
+
+
+def test_fit_bounds_the_sample(spark):
+    """About as many rows as asked for in each language, the same twice, all of a smaller one."""
+    rows = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 50, "xx").otherwise("en").alias("lang"),
+        F.lit("one text").alias("text"), F.lit(0).alias("fold"),
+    )
+    first, again = (
+        {r.lang: (r.n, r.ids) for r in kneser_ney.fitted(rows, 1000).groupBy("lang").agg(F.count("*").alias("n"), F.sum("doc_id").alias("ids")).collect()}
+        for _ in range(2)
+    )
+    assert first == again and first["xx"][0] == 50 and 850 < first["en"][0] < 1150
+    assert kneser_ney.fitted(rows, None).count() == 20_000
+
+
 def test_quality_sees_words(spark):
     """The same ordinary words in another order are more surprising, though bytes alone hardly tell."""
     rng = random.Random(4)
