@@ -159,7 +159,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of all documents under models of trusted text, and which are kept."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    found = judged(documents(spark, sf_dir), labels)
+    found = judged(documents(spark, sf_dir), labels, columns=["doc_id", "lang"])
     return found.select("row.doc_id", *found.drop("row").columns)
 
 
