@@ -23,11 +23,13 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{24}")
-STRING = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: Fewest characters of a string that is judged.
+SHORTEST = 20
+STRING = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
+UUID = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Za-z])")
 #: Lengths of the digests MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hexadecimal.
 DIGESTS = {32, 40, 56, 64, 96, 128}
-DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+HEX_PART = re.compile(r"(?<![0-9A-Za-z])(?:0[xX])?([0-9a-f]+|[0-9A-F]+)(?![0-9A-Za-z])")
 #: Words, numbers and dates joined by - or _ are identifiers, paths or sentences, not secrets.
 IDENTIFIER = re.compile(r"([A-Za-z]+|[0-9]+)([-_/+=]+([A-Za-z]+|[0-9]+))*[-_/+=]*")
 LETTERS = re.compile("[A-Za-z]+")
@@ -48,13 +50,15 @@ def vocabulary(path: str):
 def looks_random(string: str, path: str, ratio: float) -> bool:
     """Few characters per token, and neither a known digest nor an identifier.
 
-    A number alone is an identifier, and so are numbers and words joined by signs, a UUID, and
-    hexadecimal of the length of a digest. A word is one token or has ``ratio`` characters per token.
+    A number alone is an identifier, and so are numbers and words joined by signs. A UUID, and
+    hexadecimal of the length of a digest, with 0x or without, are taken out wherever signs or the ends
+    of the string set them off; what is left is judged if it is still long enough. A word is one token
+    or has ``ratio`` characters per token.
     """
-    if not LETTERS.search(string) or UUID.fullmatch(string):
-        return False
-    if len(string) in DIGESTS and DIGEST.fullmatch(string):
+    rest = HEX_PART.sub(lambda part: "" if len(part[1]) in DIGESTS else part[0], UUID.sub("", string))
+    if not LETTERS.search(rest) or len(rest) < SHORTEST:
         return False
+    string = rest
     tokens = vocabulary(path).encode_ordinary
     if len(string) >= ratio * len(tokens(string)):
         return False
