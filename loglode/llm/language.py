@@ -6,16 +6,23 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from loglode.llm.shingles import FOLD, buffers, mixed, slices
+from loglode.llm.shingles import FOLD, buffers, few_rows, mixed, slices
 from loglode.llm.tables import stored
+from loglode.session import fresh_dir
 
 #: Cells for the trigrams of bytes. The model has so many numbers per language at any input size.
 CELLS = 1 << 16
-#: Most languages of a model; their table, CELLS doubles each, goes to every executor.
-LANGUAGES = 256
+#: Languages in a block of the model, 16 MB of it, and blocks that a worker keeps. Each group of texts
+#: passes over all blocks; those beyond the kept ones are read for each group.
+BLOCK, KEPT = 64, 4
+#: Numbers of a group of texts, one per text and language.
+NUMBERS = 1 << 21
+#: Most tables of counts that a task holds.
+TABLES = 64
 #: Pseudo-counts: of a trigram, of evidence from declarations and suffixes, of the level above a host.
 SMOOTH, EVIDENCE, HOST = 0.5, 1.0, 5.0
 #: Neighbouring trigrams overlap, so a text counts for this share of what they would say alone, and
@@ -66,77 +73,132 @@ def document_rows(docs: DataFrame) -> DataFrame:
 
 
 def trigram_cells(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """The cell of the three bytes that end at each byte; letters A-Z in lower case."""
-    chars = FOLD[data[int(offsets[0]) : int(offsets[-1])]].astype(np.uint64)
+    """The cell of the three bytes that end at each byte; letters A-Z in lower case, zeros before a text."""
+    begin = int(offsets[0])
+    chars = FOLD[data[begin : int(offsets[-1])]].astype(np.uint64)
     packed = chars.copy()
     packed[1:] |= chars[:-1] << np.uint64(8)
     packed[2:] |= chars[:-2] << np.uint64(16)
+    for place in range(2):
+        # The bytes of the text before are none of this one's.
+        at = offsets[:-1][np.diff(offsets) > place] - begin + place
+        packed[at] &= np.uint64((1 << 8 * (place + 1)) - 1)
     return (mixed(packed) % np.uint64(CELLS)).astype(np.int64)
 
 
 def count_cells(languages: list[str]) -> Callable:
-    """lang and text to a row per language: its number and its counts of all cells."""
+    """lang and text to rows of a language's number and its counts of all cells."""
+    numbers = {language: number for number, language in enumerate(languages)}
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict[int, np.ndarray] = {}
         for batch in batches:
-            langs = np.array(batch["lang"].to_pylist())
-            for number, language in enumerate(languages):
-                offsets, data = buffers(batch["text"].filter(pa.array(langs == language)))
+            langs = batch["lang"].dictionary_encode()
+            for at, language in enumerate(langs.dictionary.to_pylist()):
+                alike = pa.array(langs.indices.to_numpy() == at)
+                offsets, data = buffers(batch["text"].filter(alike))
+                cells = np.zeros(CELLS, np.int64)
                 for first, last in slices(offsets):
-                    cells = trigram_cells(offsets[first : last + 1], data)
-                    some = np.bincount(cells, minlength=CELLS)
-                    table[number] = table[number] + some if number in table else some
-        cells = [row.astype("<i8").tobytes() for row in table.values()]
-        yield pa.record_batch([pa.array(list(table), pa.int32()), pa.array(cells, pa.binary())], ["at", "cells"])
+                    cells += np.bincount(trigram_cells(offsets[first : last + 1], data), minlength=CELLS)
+                number = numbers[language]
+                table[number] = table[number] + cells if number in table else cells
+                if len(table) == TABLES:
+                    yield numbered_cells(table)
+                    table = {}
+        yield numbered_cells(table)
 
     return of
 
 
-def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def numbered_cells(table: dict[int, np.ndarray]) -> pa.RecordBatch:
+    cells = [row.tobytes() for row in table.values()]
+    return pa.record_batch([pa.array(list(table), pa.int32()), pa.array(cells, pa.binary())], ["at", "cells"])
+
+
+def log_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All counts of some languages to the logarithm of each cell's probability."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for at, cells in zip(batch["at"].to_pylist(), batch["cells"].to_pylist(), strict=True):
-            row = np.frombuffer(cells, "<i8")
+            row = np.frombuffer(cells, np.int64)
             sums[at] = sums[at] + row if at in sums else row
-    cells = [row.tobytes() for row in sums.values()]
-    yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(cells, pa.binary())], ["at", "cells"])
+    for at, row in sums.items():
+        row = row + SMOOTH
+        yield numbered_cells({at: np.log(row / row.sum()).astype(np.float32)})
 
 
-def text_model(labelled: DataFrame) -> tuple[list[str], Broadcast]:
-    """Languages in order, and the logarithm of each cell's probability in each, from all rows."""
+def text_model(labelled: DataFrame) -> tuple[list[str], str]:
+    """Languages in order, and the folder with the logarithm of each cell's probability in each, from
+    all rows, a row per language in blocks of BLOCK languages."""
     known = labelled.filter("lang is not null and lang <> ''").select("lang", "text")
-    languages = sorted(row["lang"] for row in known.select("lang").distinct().limit(LANGUAGES + 1).collect())
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    shape = "at int, cells binary"
-    table = np.full((max(1, len(languages)), CELLS), SMOOTH)
-    counts = known.mapInArrow(count_cells(languages), shape)
-    for row in counts.repartition(max(1, len(languages)), "at").mapInArrow(added, shape).collect():
-        table[row["at"]] += np.frombuffer(row["cells"], "<i8")
-    model = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
-    return languages, labelled.sparkSession.sparkContext.broadcast(model)
-
-
-def text_evidence(model: Broadcast) -> Callable:
+    languages = sorted(row["lang"] for row in known.select("lang").distinct().collect())
+    folder = fresh_dir(labelled.sparkSession, "languages")
+    if languages:
+        shape = "at int, cells binary"
+        counts = known.mapInArrow(count_cells(languages), shape)
+        model = counts.repartition(min(len(languages), TABLES), "at").mapInArrow(log_shares, shape)
+        blocks = model.withColumn("block", F.floor(F.col("at") / BLOCK).cast("int"))
+        blocks.write.partitionBy("block").parquet(folder)
+    return languages, folder
+
+
+class Blocks:
+    """The model of a folder as a worker reads it, block by block."""
+
+    def __init__(self, folder: str):
+        self.store, place = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        self.files: dict[int, list[str]] = {}
+        for info in self.store.get_file_info(fs.FileSelector(place, recursive=True)):
+            if info.path.endswith(".parquet"):
+                number = int(info.path.rsplit("block=", 1)[1].split("/", 1)[0])
+                self.files.setdefault(number, []).append(info.path)
+        self.kept: dict[int, dict[int, np.ndarray]] = {}
+
+    def rows(self, number: int) -> dict[int, np.ndarray]:
+        """The row of each language of a block."""
+        if number in self.kept:
+            return self.kept[number]
+        found = {}
+        for path in self.files[number]:
+            table = pq.ParquetFile(self.store.open_input_file(path)).read(["at", "cells"], use_threads=False)
+            for at, cells in zip(table["at"].to_pylist(), table["cells"].to_pylist(), strict=True):
+                found[at] = np.frombuffer(cells, np.float32)
+        if len(self.kept) < KEPT:
+            self.kept[number] = found
+        return found
+
+
+_blocks: dict[str, Blocks] = {}
+
+
+def blocks_of(folder: str) -> Blocks:
+    if folder not in _blocks:
+        _blocks.clear()
+        _blocks[folder] = Blocks(folder)
+    return _blocks[folder]
+
+
+def text_evidence(folder: str, count: int) -> Callable:
     """Rows to the same without text, with the logarithm of each language's likelihood."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = model.value
-        for batch in batches:
+        model = blocks_of(folder)
+        for batch in few_rows(batches, max(1, NUMBERS // count)):
             offsets, data = buffers(batch["text"])
-            sums = np.zeros((len(table), batch.num_rows))
-            for first, last in slices(offsets):
-                some = offsets[first : last + 1]
-                cells = trigram_cells(some, data)
-                for number, row in enumerate(table):
-                    total = np.concatenate([[0.0], np.cumsum(row[cells], dtype=np.float64)])
-                    sums[number, first:last] = np.diff(total[some - some[0]])
+            sums = np.zeros((count, batch.num_rows))
+            for number in sorted(model.files):
+                rows = model.rows(number)
+                for first, last in slices(offsets):
+                    some = offsets[first : last + 1]
+                    cells = trigram_cells(some, data)
+                    for at, row in rows.items():
+                        total = np.concatenate([[0.0], np.cumsum(row[cells], dtype=np.float64)])
+                        sums[at, first:last] = np.diff(total[some - some[0]])
             sizes = np.diff(offsets)
             weight = np.where(sizes > 0, np.minimum(SHARE * sizes, MOST) / np.maximum(sizes, 1), 0)
             likelihood = (sums - sums.max(axis=0)) * weight
             lists = pa.ListArray.from_arrays(
-                np.arange(batch.num_rows + 1, dtype=np.int32) * len(table), likelihood.T.ravel()
+                np.arange(batch.num_rows + 1, dtype=np.int32) * count, likelihood.T.ravel()
             )
             rest = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays([*rest.columns, lists], [*rest.schema.names, "likelihood"])
@@ -151,24 +213,24 @@ def chances(logs: Column) -> Column:
     return F.transform(powers, lambda x: x / total)
 
 
-def summed(languages: list[str]) -> list[Column]:
-    """For a group of rows: the sum of the chances of each language."""
-    return [F.sum(F.col("chance")[i]).alias(f"n{i}") for i in range(len(languages))]
-
+def by_key(rows: DataFrame, *keys: str) -> DataFrame:
+    """Per value of the first key, and of what it belongs to, the array n: how much of each language
+    its rows hold."""
+    some = rows.filter(F.col(keys[0]).isNotNull()) if keys else rows
+    each = some.select(*keys, F.posexplode("chance").alias("at", "share"))
+    sums = each.groupBy(*keys, "at").agg(F.sum("share").alias("n"))
+    lists = sums.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("n"))
+    return lists.withColumn("n", F.col("n.n"))
 
-def by_key(rows: DataFrame, key: str, languages: list[str], *more: str) -> DataFrame:
-    """Per value of a key, and of what it belongs to, how much of each language its rows hold."""
-    return rows.filter(F.col(key).isNotNull()).groupBy(key, *more).agg(*summed(languages))
 
-
-def shares(languages: list[str], before: list[Column], weight: float) -> list[Column]:
+def shares(before: Column, weight: float) -> Column:
     """Smoothed shares of the languages in a group: its own sums and ``weight`` of those before."""
-    total = sum((F.col(f"n{i}") for i in range(len(languages))), F.lit(weight))
-    return [(F.col(f"n{i}") + weight * before[i]) / total for i in range(len(languages))]
+    total = F.aggregate("n", F.lit(weight), lambda total, x: total + x)
+    return F.transform(F.zip_with("n", before, lambda n, x: n + weight * x), lambda x: x / total)
 
 
-def logs(values: list[Column]) -> Column:
-    return F.array(*[F.log(F.greatest(value, F.lit(FLOOR))) for value in values])
+def logs(values: Column) -> Column:
+    return F.transform(values, lambda x: F.log(F.greatest(x, F.lit(FLOOR))))
 
 
 def identify(rows: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -180,9 +242,10 @@ def identify(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     speaks for a language, and how common the languages are on a host; a host with few rows is
     smoothed by its site, a site by all rows. The posterior adds up the logarithms of all of them.
     Evidence that a row lacks says nothing; an empty text leaves the rest to decide. Equal chances
-    go to the first language in order. Without labelled rows the language is null.
+    go to the first language in order. Without labelled rows the language is null. There may be any
+    number of languages: the model lies in the shared folder in blocks of them.
     """
-    languages, model = text_model(labelled)
+    languages, folder = text_model(labelled)
     kept = [name for name in rows.columns if name != "text"]
     if not languages:
         none = F.lit(None)
@@ -192,30 +255,28 @@ def identify(rows: DataFrame, labelled: DataFrame) -> DataFrame:
         )
     names = F.array(*map(F.lit, languages))
     shape = rows.select(*kept).schema.add("likelihood", T.ArrayType(T.DoubleType()))
-    seen = stored(rows.mapInArrow(text_evidence(model), shape), "likelihoods")
-    seen = seen.withColumn("chance", chances(F.col("likelihood")))
     count = len(languages)
-    every = stored(seen.agg(*summed(languages), F.count(F.lit(1)).alias("rows")), "all")
-    alike = [F.lit(1 / count)] * count
-    overall = every.select(*[x.alias(f"s{i}") for i, x in enumerate(shares(languages, alike, float(count)))]).first()
-    common = [F.lit(overall[i]) for i in range(count)]
+    seen = stored(rows.mapInArrow(text_evidence(folder, count), shape), "likelihoods")
+    seen = seen.withColumn("chance", chances(F.col("likelihood")))
+    # One number per language; without rows there are none.
+    alike = F.array_repeat(F.lit(1 / count), count)
+    overall = by_key(seen).select(shares(alike, float(count)).alias("s")).first()
+    common = F.array(*map(F.lit, overall["s"] if overall and overall["s"] else [1 / count] * count))
 
     def evidence(key: str) -> DataFrame:
         # P(value | language) but for a factor that all languages share.
-        grown = [F.col(f"s{i}") / common[i] for i in range(count)]
-        tables = by_key(seen, key, languages)
-        named = tables.select(key, *[x.alias(f"s{i}") for i, x in enumerate(shares(languages, common, EVIDENCE))])
-        return stored(named.select(F.col(key).alias(f"{key}_key"), logs(grown).alias(f"{key}_log")), key)
-
-    sites = by_key(seen, "site", languages)
-    sites = sites.select("site", *[x.alias(f"s{i}") for i, x in enumerate(shares(languages, common, HOST))])
-    hosts = by_key(seen, "host", languages, "site").join(stored(sites, "sites"), "site", "left")
-    above = [F.coalesce(F.col(f"s{i}"), common[i]) for i in range(count)]
+        grown = F.zip_with(shares(common, EVIDENCE), common, lambda x, y: x / y)
+        named = by_key(seen, key).select(F.col(key).alias(f"{key}_key"), logs(grown).alias(f"{key}_log"))
+        return stored(named, key)
+
+    sites = stored(by_key(seen, "site").select("site", shares(common, HOST).alias("above")), "sites")
+    hosts = by_key(seen, "host", "site").join(sites, "site", "left")
+    above = F.coalesce("above", common)
     hosts = stored(
         hosts.select(
             F.col("host").alias("host_key"),
             F.col("site").alias("site_key"),
-            logs(shares(languages, above, HOST)).alias("host_log"),
+            logs(shares(above, HOST)).alias("host_log"),
         ),
         "hosts",
     )
@@ -225,7 +286,7 @@ def identify(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     found = found.join(
         hosts, (F.col("host") == F.col("host_key")) & F.col("site").eqNullSafe(F.col("site_key")), "left"
     )
-    zeros, prior = F.array(*[F.lit(0.0)] * count), logs(common)
+    zeros, prior = F.array_repeat(F.lit(0.0), count), logs(common)
     total = F.col("likelihood")
     for part in (
         F.coalesce("declared_log", zeros), F.coalesce("suffix_log", zeros), F.coalesce("host_log", prior)
