@@ -216,7 +216,9 @@ def similar_links(
     with one hub, the document in which that shingle is rarest of all; so a group of thousands of
     near copies takes one comparison each. Then only lists that are not yet connected are left, and
     there every document outside the hub's component is compared with all of the list that are in
-    another component. Two similar documents are thus linked or already connected.
+    another component. Which components meet in a list is settled first, so documents of one are never
+    paired with each other, however many share a list. Two similar documents are thus linked or
+    already connected.
     """
     counts = shingle_counts(texts, words)
     shape = "doc_id long, n long, prefix array<long>, parts binary"
@@ -245,7 +247,8 @@ def similar_links(
     open_lists = labelled(lists, "doc_id", "label").withColumn("hub_id", F.col("hub.doc_id"))
     open_lists = labelled(open_lists, "hub_id", "hub_label")
     others = stored(
-        open_lists.filter("label <> hub_label").select("shingle", "doc_id", "n", "at", "label"), "others"
+        open_lists.filter("label <> hub_label").select("shingle", "doc_id", "n", "at", "label", "hub_label"),
+        "others",
     )
     open_shingles = others.select("shingle").distinct()
     members = open_lists.join(open_shingles, "shingle", "left_semi").filter("doc_id <> hub_id")
@@ -255,7 +258,16 @@ def similar_links(
     left = others.select(
         "shingle", F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("at").alias("a_at"), F.col("label").alias("a_label")
     )
-    rest = left.join(right, "shingle").filter("a_label <> b_label")
+    # Components of a list, the hub's among them; of two others each pair once.
+    outside = others.select("shingle", F.col("label").alias("a_label"), "hub_label").distinct()
+    inside = right.select("shingle", "b_label").distinct()
+    meeting = stored(
+        outside.join(inside, "shingle")
+        .filter("b_label = hub_label or a_label < b_label")
+        .select("shingle", "a_label", "b_label"),
+        "meeting",
+    )
+    rest = left.join(meeting, ["shingle", "a_label"]).join(right, ["shingle", "b_label"])
     second = verified(fitting(rest, percent), rare, texts, words, percent)
     return first.unionByName(second)
 
