@@ -112,3 +112,33 @@ def test_near_edge_cases(small, empty):
     assert kept.columns == small.columns
     assert sorted({r.doc_id for r in kept.collect()}) == sorted(set(component.values()))
     assert near_groups(empty).count() == 0 and one_of_each(empty).count() == 0
+
+
+def test_one_component_in_a_list_is_not_paired(spark, monkeypatch):
+    """A third of all rows share a list whose hub is like none of them; two such groups share another."""
+    from loglode.llm import jaccard
+
+    met = []
+    plain = jaccard.stored
+
+    def counting(frame, name):
+        out = plain(frame, name)
+        if name == "meeting":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counting)
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    shared = "five words that all share".split()
+    docs = [" ".join(shared)]
+    for name in "ab":
+        core = words(name, 25) + shared + words(f"{name}{name}", 25)
+        docs += [" ".join([*core, f"own{name}{i}"]) for i in range(40)]
+    # These make the words around the shared ones more common, so the shared ones stand in prefixes.
+    docs += [" ".join(words(x, 25) + words(f"x{i}", 90) + words(x + x, 25)) for i in range(45) for x in "ab"]
+    rows = list(enumerate(docs))
+    got = near_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute.components(rows, 5, 80)
+    assert len({r.component_id for r in got if 1 <= r.doc_id <= 80}) == 2
+    # The groups meet once in the shared list, whatever their size; 40 times 40 pairs of each never do.
+    assert met and met[0] <= 4

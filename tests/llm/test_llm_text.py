@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import string
+import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 import brute
 from brute import ROWS
-from loglode.llm import kneser_ney, secrets
+from loglode.llm import kneser_ney, language, secrets
 from loglode.llm.language import document_rows, identify, page_rows
 from loglode.llm.licenses import PHRASES, find_licences
 from loglode.llm.winnowing import fingerprints, likeness, with_fingerprint, with_next, written
@@ -70,6 +72,20 @@ def test_secrets_of_letters_alone():
         assert not secrets.looks_random(name, secrets.VOCABULARY, secrets.RATIO), name
 
 
+def test_digests_and_identifiers_inside_strings():
+    rng = random.Random(9)
+    looks = lambda x: secrets.looks_random(x, secrets.VOCABULARY, secrets.RATIO)
+    for i in range(100):
+        digest = hashlib.new(rng.choice(["md5", "sha1", "sha256"]), str(i).encode()).hexdigest()
+        name = str(uuid.UUID(int=rng.getrandbits(128)))
+        key = "".join(rng.choices(string.ascii_letters + string.digits, k=40))
+        for known in (digest, digest.upper(), "0x" + digest, f"objects/pack/{digest}", f"sha-{digest}=", name,
+                      f"{name}-build17", f"run_{name}", f"{name}/{digest}"):
+            assert not looks(known), known
+        for planted in (key, f"{digest}/{key}", f"{name}_{key}", f"0x{digest}+{key}"):
+            assert looks(planted), planted
+
+
 def plain_fingerprint(hashes, window):
     """hash and place by the definition: of each window the least, the rightmost of equal ones."""
     chosen = {}
@@ -189,6 +205,93 @@ def test_language(spark, small, empty):
     assert identify(document_rows(small), empty.select("lang", "text")).filter("language is null").count() == len(ROWS)
 
 
+def plain_posteriors(rows, labelled):
+    """Per row the languages' posteriors by the definition; rows are text, declared, suffix, host, site."""
+    languages = sorted({lang for lang, _ in labelled if lang})
+    count = len(languages)
+
+    def cells(text):
+        data = brute.lower(text).encode()
+        grams = [int.from_bytes(data[max(0, i - 2) : i + 1], "big") for i in range(len(data))]
+        return (language.mixed(np.array(grams, np.uint64)) % np.uint64(language.CELLS)).tolist()
+
+    model = {}
+    for name in languages:
+        seen = Counter(cell for lang, text in labelled if lang == name for cell in cells(text))
+        total = sum(seen.values()) + language.SMOOTH * language.CELLS
+        model[name] = lambda cell, seen=seen, total=total: math.log((seen[cell] + language.SMOOTH) / total)
+    likelihoods, chances = [], []
+    for text, *_ in rows:
+        found = cells(text)
+        sums = [sum(map(model[name], found)) for name in languages]
+        weight = min(language.SHARE * len(found), language.MOST) / len(found) if found else 0
+        likelihoods.append([(x - max(sums)) * weight for x in sums])
+        chances.append(shared([math.exp(x) for x in likelihoods[-1]]))
+
+    def smoothed(picked, before, weight):
+        sums = [sum(chances[i][k] for i in picked) for k in range(count)]
+        return [(n + weight * b) / (sum(sums) + weight) for n, b in zip(sums, before)]
+
+    log = lambda x: math.log(max(x, language.FLOOR))
+    common = smoothed(range(len(rows)), [1 / count] * count, float(count))
+    same = lambda at, i: [j for j, row in enumerate(rows) if row[at] == rows[i][at]]
+    out = []
+    for i, (_, declared, suffix, host, site) in enumerate(rows):
+        total = list(likelihoods[i])
+        for at, value in ((1, declared), (2, suffix)):
+            if value is not None:
+                named = smoothed(same(at, i), common, language.EVIDENCE)
+                total = [x + log(n / c) for x, n, c in zip(total, named, common)]
+        prior = common
+        if host is not None:
+            above = smoothed(same(4, i), common, language.HOST) if site is not None else common
+            prior = smoothed([j for j in same(3, i) if rows[j][4] == site], above, language.HOST)
+        total = [x + log(p) for x, p in zip(total, prior)]
+        out.append(shared([math.exp(x - max(total)) for x in total]))
+    return languages, out
+
+
+def shared(values):
+    return [x / sum(values) for x in values]
+
+
+def test_posteriors_by_a_plain_version(spark):
+    """Nulls, empty and long texts, repeated rows and hosts of several sites, whatever the partitions."""
+    rng = random.Random(12)
+    vocabularies = {name: ["".join(rng.choices("abcdeéghïü", k=5)) for _ in range(40)] for name in ("aa", "bb", "cc")}
+    text = lambda name, n: " ".join(rng.choices(vocabularies[name], k=n))
+    labelled = [(name, text(name, 30)) for name in vocabularies for _ in range(4)] + [("aa", None), (None, "x"), ("", "y")]
+    hosts = [("www.one.aa", "one.aa"), ("w2.one.aa", "one.aa"), ("two.bb", "two.bb"), ("src", None), (None, None)]
+    rows = [
+        (text(rng.choice("abc") * 2, rng.choice([0, 1, 2, 40])), rng.choice(["aa", "bb", None]), rng.choice(["aa", "com", None]), *rng.choice(hosts))
+        for _ in range(60)
+    ]
+    rows += [rows[0]] * 3 + [(None, None, None, None, None), (text("bb", 3000).upper(), "aa", None, "src", None)]
+    languages, want = plain_posteriors(rows, labelled)
+    shape = "text string, declared string, suffix string, host string, site string, page_id int"
+    for partitions in (1, 4):
+        frame = spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], shape).repartition(partitions)
+        got = identify(frame, spark.createDataFrame(labelled, "lang string, text string")).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert np.allclose(r.chances, want[r.page_id], rtol=1e-3, atol=1e-6)
+            top = max(want[r.page_id])
+            assert want[r.page_id][languages.index(r.language)] > top - 1e-5 and abs(r.chance - top) < 1e-4
+
+
+def test_any_number_of_languages(spark):
+    """More languages than a worker keeps blocks of; every one is told by its own words."""
+    rng = random.Random(13)
+    names = [f"l{i:03}" for i in range(300)]
+    words = {name: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)] for name in names}
+    labelled = [(name, " ".join(rng.choices(words[name], k=60))) for name in names]
+    rows = [(i, " ".join(rng.choices(words[name], k=20)), None, None, "h", None) for i, name in enumerate(names)]
+    frame = spark.createDataFrame(rows, "page_id int, text string, declared string, suffix string, host string, site string")
+    got = identify(frame, spark.createDataFrame(labelled, "lang string, text string").repartition(4)).collect()
+    assert len(got) == 300 > language.BLOCK * language.KEPT
+    assert all(r.language == r.text_language == names[r.page_id] for r in got)
+
+
 def test_page_evidence(spark):
     """With no text, the rest decides: declared language, suffix, then the host's other pages."""
     docs = spark.createDataFrame([("the and of this that with", "en"), ("der die und nicht mit das", "de")] * 5, "text string, lang string")
