@@ -32,12 +32,12 @@ from loglode.streaming.ingest import batch_log, start_ingest
 from loglode.streaming.live import (
     current,
     current_reuse,
-    current_top,
     live_agents,
     live_status_classes,
     live_tiers,
     live_tops,
     live_traffic,
+    settled_top,
     start_live,
 )
 
@@ -836,12 +836,15 @@ def _(spark, sf_dir):
 
 @query("h2_live_tops")
 def _(spark, sf_dir):
-    """The three top lists of a stream, from its sketches and a recount of their candidates."""
+    """The three top lists of a stream, from its sketches and a recount of their candidates.
+
+    Where the sketches leave a list open, all keys are counted.
+    """
     logs, out = _in_files(spark, sf_dir, 240), fresh_dir(spark, "live")
     rows = Ingest(LINE_FORMAT, TABLE_COLUMNS).run(stream_logs(spark, logs, 1))
     start_live(rows, live_tops, 24 * HOUR, out, out + "-state", None).awaitTermination()
     lists = [
-        current_top(spark, out, table(spark, sf_dir), name, 24 * HOUR, *_SPAN)
+        settled_top(spark, out, table(spark, sf_dir), name, 24 * HOUR, *_SPAN)
         .select(F.lit(name).alias("kind"), F.col(name).alias("key"), "cnt", "rank", "sure")
         for name in ("url", "ip", "ua")
     ]

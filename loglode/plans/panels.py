@@ -230,7 +230,7 @@ def method_share(table: DataFrame, start, end) -> DataFrame:
     ).orderBy(F.desc("cnt"), "method")
 
 
-def _top(table: DataFrame, start, end, key: Column, name: str, top: int) -> DataFrame:
+def top_keys(table: DataFrame, start, end, key: Column, name: str, top: int) -> DataFrame:
     # Equal counts are settled by the key, so the report does not vary between runs.
     order = [F.desc("cnt"), F.col(name)]
     return ranked(_counted(table, start, end, key.alias(name)).orderBy(*order).limit(top), *order)
@@ -242,15 +242,15 @@ def ranked(rows: DataFrame, *order: Column) -> DataFrame:
 
 
 def top_urls(table: DataFrame, start, end, top: int = TOP) -> DataFrame:
-    return _top(table, start, end, request_target(F.col("Request")), "url", top)
+    return top_keys(table, start, end, request_target(F.col("Request")), "url", top)
 
 
 def top_clients(table: DataFrame, start, end, top: int = TOP) -> DataFrame:
-    return _top(table, start, end, F.col("RemoteAddr"), "ip", top)
+    return top_keys(table, start, end, F.col("RemoteAddr"), "ip", top)
 
 
 def top_agents(table: DataFrame, start, end, top: int = TOP) -> DataFrame:
-    return _top(table, start, end, F.col("HttpUserAgent"), "ua", top)
+    return top_keys(table, start, end, F.col("HttpUserAgent"), "ua", top)
 
 
 def slow_or_failed(table: DataFrame, start, end, rows: int = DETAIL_ROWS) -> DataFrame:

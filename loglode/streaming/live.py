@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglode.functions.text import request_target
-from loglode.plans.panels import TOP, bucket, in_range, ranked
+from loglode.plans.panels import TOP, bucket, in_range, ranked, top_keys
 from loglode.streaming.ingest import cadence
 from loglode.streaming.tiers import Tiers
 
@@ -165,7 +165,7 @@ def current_top(
 
     The sketches below ``path`` name CANDIDATES keys, and only their rows of the table are counted: no
     shuffle of all keys. ``sure`` tells that no other key can have as many requests as the last one
-    listed: what the sketches say of other keys, with their error, is less, or they hold every key.
+    listed: what the sketches say of other keys, with their error, is less.
     """
     first = datetime.fromisoformat(start) - timedelta(seconds=interval_s)
     parts = partials(spark, path, first, end)
@@ -178,9 +178,27 @@ def current_top(
     order = [F.desc("cnt"), F.col(name)]
     counted = rows.join(F.broadcast(chosen), name).groupBy(name).agg(F.count(F.lit(1)).alias("cnt"))
     listed = ranked(counted.orderBy(*order).limit(top), *order)
-    # Fewer keys than were asked for are all there are.
-    others = max(keys[-1][1], 2.7 * found.cnt / TRACKED) if len(keys) == CANDIDATES else 0
-    return listed.withColumn("sure", F.lit(len(keys) < CANDIDATES) | (F.col("cnt") > others))
+    # Fewer keys than were asked for need not be all there are: a full sketch drops the rare ones.
+    others = max([2.7 * found.cnt / TRACKED if found else 0, *[count for _, count in keys[CANDIDATES - 1 :]]])
+    return listed.withColumn("sure", F.col("cnt") > others)
+
+
+def settled_top(
+    spark: SparkSession, path: str, table: DataFrame, name: str, interval_s: int, start: str, end: str, top: int = TOP
+) -> DataFrame:
+    """The ``top`` most frequent urls, ips or uas of the range, whatever the number of keys.
+
+    The list is that of ``current_top`` where it is full and each of its keys is sure. Sketches of many keys
+    that are about as frequent cannot tell which come first, and drop those that are rare; then all keys of
+    the range are counted in the table, partly before the shuffle. Either way every row of the list is ``sure``.
+    """
+    listed = current_top(spark, path, table, name, interval_s, start, end, top)
+    # No more than the rows of a short report.
+    rows = listed.collect()
+    if len(rows) == top and all(row.sure for row in rows):
+        return spark.createDataFrame(rows, listed.schema)
+    every = top_keys(table, start, end, TOP_KEYS[name](), name, top)
+    return every.withColumn("sure", F.lit(True))
 
 
 def current_reuse(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:

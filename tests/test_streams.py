@@ -316,3 +316,28 @@ def test_batches_bounded_by_bytes(spark, logs, tmp_path):
     query = start_ingest(stream, JOB, str(tmp_path / "t"), str(tmp_path / "s"), None)
     query.awaitTermination()
     assert batch_log(spark, str(tmp_path / "t")).count() == 6
+
+
+def test_settled_tops(spark, tmp_path, monkeypatch):
+    """Many keys of like counts: no key of the sketches is sure, and the list is that of a full count."""
+    monkeypatch.setattr(live, "TRACKED", 100)
+    monkeypatch.setattr(live, "CANDIDATES", 20)
+    rows = spark.range(20_000).selectExpr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id % 48) as TimeLocal",
+        "concat('GET /', case when id % 10 < 9 then 'hot' else cast(id % 5000 as string) end) as Request",
+        # Two keys with six requests, all others with five.
+        "concat('10.0.0.', case when id in (7777, 17002) then id - 5 else id % 4000 end) as RemoteAddr",
+        "cast(id % 7 as string) as HttpUserAgent",
+    )
+    land, out = str(tmp_path / "land"), str(tmp_path / "live")
+    rows.repartition(4).write.parquet(land)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(land)
+    live.start_live(stream, live.live_tops, 3600, out, out + "-state", None).awaitTermination()
+    span = ("2024-01-01 00:00:00", "2024-01-03 00:00:00")
+    for name in ("url", "ip", "ua"):
+        got = live.settled_top(spark, out, rows, name, 3600, *span).orderBy("rank").collect()
+        key = live.TOP_KEYS[name]()
+        counted = rows.groupBy(key.alias(name)).count().orderBy(F.desc("count"), name).limit(10).collect()
+        assert [(r[name], r.cnt, r.sure) for r in got] == [(r[name], r["count"], True) for r in counted]
+    assert not any(r.sure for r in live.current_top(spark, out, rows, "ip", 3600, *span).collect())
+    assert live.settled_top(spark, out, rows, "ip", 3600, "2034-01-01", "2034-01-02").count() == 0
