@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -162,6 +163,55 @@ def fitting(pairs: DataFrame, percent: int) -> DataFrame:
     return kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def size_range(n: Column, percent: int) -> Column:
+    """A number that grows with the size of a set; those of sizes that may link are neighbours or equal."""
+    if percent >= 100:
+        return n.cast("long")
+    return F.floor(F.log(n.cast("double")) / math.log(100 / percent))
+
+
+def across(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one list, not of one component, that can pass the filters of ``fitting``.
+
+    With the shared shingle at place p of n, a set links with sets of no more than ``most`` shingles. So of
+    any pair the smaller set has its own size within its ``most``, which takes the shared shingle among its
+    very first: most members of a long list have it near the end of their prefix, and are never paired
+    with each other. What is left meets by list and range of sizes: first components, by the bounds of
+    their members, then the members.
+    """
+    most = F.expr(f"(n - at) * {100 + percent} div {percent} - n")
+    placed = stored(members.withColumn("most", most).withColumn("sizes", size_range(F.col("n"), percent)), "members")
+    upto = size_range(F.col("most"), percent)
+    early = stored(
+        placed.filter("n <= most").withColumn("sizes", F.explode(F.sequence("sizes", upto))), "early"
+    )
+
+    def named(frame: DataFrame, side: str) -> DataFrame:
+        kept = [F.col(x).alias(f"{side}_{x}") for x in frame.columns if x not in ("shingle", "sizes")]
+        return frame.select("shingle", "sizes", *kept)
+
+    def bounds(frame: DataFrame) -> DataFrame:
+        return frame.groupBy("shingle", "sizes", "label").agg(F.min("n").alias("n"), F.max("most").alias("most"))
+
+    fit = "a_n <= b_most and b_n <= a_most"
+    meeting = stored(
+        named(bounds(early), "a").join(named(bounds(placed), "b"), ["shingle", "sizes"])
+        .filter(f"a_label <> b_label and {fit}")
+        .select("shingle", "sizes", "a_label", "b_label"),
+        "meeting",
+    )
+    smaller, larger = [
+        named(frame.select("shingle", "sizes", "label", F.col("doc_id").alias(""), "n", "at", "most"), side)
+        for frame, side in ((early, "a"), (placed, "b"))
+    ]
+    pairs = (
+        smaller.join(meeting, ["shingle", "sizes", "a_label"])
+        .join(larger, ["shingle", "sizes", "b_label"])
+        .filter(f"{fit} and (a_n < b_n or a_n = b_n and a_ < b_)")
+    )
+    return pairs.select(F.col("a_").alias("a"), "a_n", "a_at", F.col("b_").alias("b"), "b_n", "b_at")
+
+
 def close(percent: int) -> Callable:
     """Pairs with sizes and part sizes to the pairs that pass the suffix filter.
 
@@ -215,10 +265,8 @@ def similar_links(
     Documents that share a prefix shingle form its list. First every document of a list is compared
     with one hub, the document in which that shingle is rarest of all; so a group of thousands of
     near copies takes one comparison each. Then only lists that are not yet connected are left, and
-    there every document outside the hub's component is compared with all of the list that are in
-    another component. Which components meet in a list is settled first, so documents of one are never
-    paired with each other, however many share a list. Two similar documents are thus linked or
-    already connected.
+    there every document is compared with all of the list that are in another component and that its size
+    and place allow (``across``). Two similar documents are thus linked or already connected.
     """
     counts = shingle_counts(texts, words)
     shape = "doc_id long, n long, prefix array<long>, parts binary"
@@ -245,30 +293,15 @@ def similar_links(
         return frame.join(names, column, "left").withColumn(label, F.coalesce(label, column))
 
     open_lists = labelled(lists, "doc_id", "label").withColumn("hub_id", F.col("hub.doc_id"))
-    open_lists = labelled(open_lists, "hub_id", "hub_label")
-    others = stored(
-        open_lists.filter("label <> hub_label").select("shingle", "doc_id", "n", "at", "label", "hub_label"),
-        "others",
-    )
-    open_shingles = others.select("shingle").distinct()
-    members = open_lists.join(open_shingles, "shingle", "left_semi").filter("doc_id <> hub_id")
-    right = members.select(
-        "shingle", F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), F.col("label").alias("b_label")
-    )
-    left = others.select(
-        "shingle", F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("at").alias("a_at"), F.col("label").alias("a_label")
-    )
-    # Components of a list, the hub's among them; of two others each pair once.
-    outside = others.select("shingle", F.col("label").alias("a_label"), "hub_label").distinct()
-    inside = right.select("shingle", "b_label").distinct()
-    meeting = stored(
-        outside.join(inside, "shingle")
-        .filter("b_label = hub_label or a_label < b_label")
-        .select("shingle", "a_label", "b_label"),
-        "meeting",
+    open_lists = stored(
+        labelled(open_lists, "hub_id", "hub_label").select(
+            "shingle", "doc_id", "n", "at", "label", "hub_label", (F.col("doc_id") == F.col("hub_id")).alias("is_hub")
+        ),
+        "labelled",
     )
-    rest = left.join(meeting, ["shingle", "a_label"]).join(right, ["shingle", "b_label"])
-    second = verified(fitting(rest, percent), rare, texts, words, percent)
+    open_shingles = stored(open_lists.filter("label <> hub_label").select("shingle").distinct(), "open")
+    members = open_lists.join(sized(open_shingles), "shingle", "left_semi").filter("not is_hub")
+    second = verified(fitting(across(members, percent), percent), rare, texts, words, percent)
     return first.unionByName(second)
 
 

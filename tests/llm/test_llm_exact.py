@@ -142,3 +142,47 @@ def test_one_component_in_a_list_is_not_paired(spark, monkeypatch):
     assert len({r.component_id for r in got if 1 <= r.doc_id <= 80}) == 2
     # The groups meet once in the shared list, whatever their size; 40 times 40 pairs of each never do.
     assert met and met[0] <= 4
+
+
+def test_a_passage_in_many_documents_is_not_paired(spark, monkeypatch):
+    """Documents that share a passage, each with too many words of its own, meet in its lists and are not paired."""
+    from loglode.llm import jaccard
+
+    met = []
+    plain = jaccard.stored
+
+    def counting(frame, name):
+        out = plain(frame, name)
+        if name == "meeting":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counting)
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = [" ".join([passage, *[f"own{i}x{k}" for k in range(9)]]) for i in range(200)]
+    # Those with few words of their own link with each other.
+    docs += [" ".join([passage, *[f"few{i}x{k}" for k in range(3)]]) for i in range(10)]
+    rows = list(enumerate(docs))
+    got = near_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), 4, 85).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute.components(rows, 4, 85)
+    assert len({r.component_id for r in got}) == 201
+    assert met and met[0] <= len(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 85, 100])
+def test_across_gives_the_pairs_that_filters_pass(spark, percent):
+    """Every pair of a list that may link, once, and none of one component."""
+    from loglode.llm.jaccard import across
+
+    draw = random.Random(7)
+    rows = []
+    for doc in range(300):
+        n = draw.choice([1, 2, 5, 6, 7, 20, 21, 24, 25, 100, 117, 118])
+        rows.append((doc % 3, doc, n, draw.randrange(n + (-percent * n) // 100 + 1), doc % 50))
+    frame = spark.createDataFrame(rows, "shingle long, doc_id long, n int, at int, label long")
+    got = [(r.shingle_of, *sorted([r.a, r.b])) for r in across(frame, percent).selectExpr("a % 3 as shingle_of", "*").collect()]
+    want = []
+    for x, y in [(x, y) for x in rows for y in rows if x[1] < y[1] and x[0] == y[0] and x[4] != y[4]]:
+        if min(x[2] - x[3], y[2] - y[3]) * (100 + percent) >= percent * (x[2] + y[2]):
+            want.append((x[0], x[1], y[1]))
+    assert sorted(got) == sorted(want) and want
