@@ -35,11 +35,8 @@ PRIOR = 200
 STEP = 0.001
 #: Bytes of text that are put in order of language and fold, so that one model at a time is held.
 GROUP = 32 << 20
-#: Bytes of one language and fold that are looked up at once: each time passes over all shards.
+#: Bytes of one language and fold whose byte n-grams are looked up at once; words are by GROUP.
 PART = 1 << 20
-#: About so many trusted documents of each language make its models: the bound of the labelled sample.
-#: Limits and means are of all trusted documents, and every document is scored.
-FIT = 2000
 #: Bits of a hash that decide whether a document is in the sample.
 BITS = 52
 GRAM_ROWS = "lang string, fold int, gram long, n long"
@@ -403,19 +400,23 @@ class Model:
             p = self.above(tongue, ABOVE + size, joined(some), context, p, model)
         return -np.log(p)[back_to], known[back_to]
 
+    @staticmethod
+    def spelled_words(offsets: np.ndarray, data: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per word those before it and itself, the surprise of its bytes and which text it is in.
 
-    def worded(
-        self, tongue: str, offsets: np.ndarray, data: np.ndarray, sums: np.ndarray, model: int
-    ) -> np.ndarray:
-        """Per text the surprise of its words; ``sums`` is that of all bytes before each byte."""
+        ``sums`` is the surprise of all bytes before each byte. A word's bytes are it and one space after it.
+        """
         bounds = offsets - offsets[0]
         words, starts, ends = word_keys(offsets, data)
-        own, known = self.word_surprise(tongue, words, model)
         text = np.searchsorted(bounds, starts, "right") - 1
-        # A known word takes the place of its spelling and of one space after it.
-        spelled = sums[np.minimum(ends + 1, bounds[text + 1])] - sums[starts]
-        more = np.bincount(text, own - np.where(known, spelled, 0), len(bounds) - 1)
-        return np.diff(sums[bounds]) + more
+        return *words, sums[np.minimum(ends + 1, bounds[text + 1])] - sums[starts], text
+
+    def worded(self, tongue: str, parts: list[tuple[np.ndarray, ...]], nll: np.ndarray, model: int) -> np.ndarray:
+        """Per text the surprise of its words, of the words of some parts and the surprise of all bytes of each text."""
+        *words, spelled, text = (np.concatenate(x) for x in zip(*parts, strict=True))
+        own, known = self.word_surprise(tongue, words, model)
+        # A known word takes the place of its spelling.
+        return nll + np.bincount(text, own - np.where(known, spelled, 0), len(nll))
 
 
 _models: dict[str, Model] = {}
@@ -449,6 +450,7 @@ def score(folder: str) -> Callable:
                     if not models.has(tongue, 0):
                         continue
                     held_out = [fold + 1] if models.has(tongue, fold + 1) else []
+                    parts = []
                     for first, last in slices(offsets, PART):
                         rows, own = alike[first:last], offsets[first : last + 1]
                         bounds = own - own[0]
@@ -456,7 +458,11 @@ def score(folder: str) -> Callable:
                         nll[rows] = np.diff(of_all[bounds])
                         if held:
                             held_nll[rows] = np.diff(held[0][bounds])
-                            word_nll[rows] = models.worded(tongue, own, data, held[0], fold + 1)
+                            *words, text = models.spelled_words(own, data, held[0])
+                            parts.append((*words, text + first))
+                    if parts:
+                        # All words at once: each look-up passes over all shards of the language.
+                        word_nll[alike] = models.worded(tongue, parts, held_nll[alike], fold + 1)
                 found = [pa.array(x, from_pandas=True) for x in (nll, held_nll, word_nll)]
                 columns = [*batch.columns, *found, pa.array(sizes)]
                 names = [*batch.schema.names, "nll", "held_nll", "word_nll", "bytes"]
@@ -549,14 +555,14 @@ def limits(scores: DataFrame) -> DataFrame:
 
 
 def judged(
-    docs: DataFrame, labels: DataFrame, fit: int | None = FIT, columns: list[str] | None = None
+    docs: DataFrame, labels: DataFrame, fit: int | None = None, columns: list[str] | None = None
 ) -> DataFrame:
     """The rows of ``docs`` as a struct ``row``, with lang, bytes, perplexities, excess, limit and kept.
 
     ``columns`` are those that the row keeps, doc_id and lang among them; all for None. Each text is scored
     once: the scores are stored with the rows, and limits are taken from those of trusted documents.
-    Models of each language are made of about ``fit`` of its trusted documents, drawn by a hash of the
-    text (all of them for None): of n-grams of bytes, and of n-grams of words, in which a word that
+    Models of each language are made of all its trusted documents, or of about ``fit`` of them, drawn by
+    a hash of id and text: of n-grams of bytes, and of n-grams of words, in which a word that
     those texts lack is spelled by bytes. ``perplexity`` is by the bytes of all of them.
     ``held_perplexity``, by bytes, and ``word_perplexity`` are from those texts that are not in the
     document's own fold, so a trusted document is scored like any other. All are of a byte of the document together with PRIOR
@@ -599,6 +605,14 @@ def judged(
     )
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, fit: int | None = FIT) -> DataFrame:
-    """The rows of ``docs`` that ``judged`` keeps, with all their columns."""
-    return judged(docs, labels, fit).filter("kept").select("row.*")
+def good_documents(docs: DataFrame, labels: DataFrame, fit: int | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` keeps, with all their columns.
+
+    What is kept depends on language and text alone, so the scores are taken without the other columns,
+    and the rows to drop are known by doc_id and a hash of both.
+    """
+    hashed = F.xxhash64(*[F.coalesce(docs[name], F.lit("")) for name in ("lang", "text")])
+    marked = docs.select("doc_id", "lang", "text", hashed.alias("mark"))
+    out = judged(marked, labels, fit, ["doc_id", "lang", "mark"]).filter("not kept")
+    gone = sized(stored(out.select("row.doc_id", "row.mark").distinct(), "gone"))
+    return docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id) & (hashed == gone.mark), "left_anti")

@@ -478,3 +478,23 @@ def test_quality_held_out(spark, small, empty):
 
 def test_secret_digest_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442") and np.isfinite(secrets.RATIO)
+
+
+def test_models_are_of_all_trusted_text(spark, monkeypatch):
+    """However many trusted documents a language has, each byte and word of them is counted in its models."""
+    counted = []
+    plain = kneser_ney.write_model
+
+    def counting(grams, kind, folder):
+        counted.append(grams.agg(F.sum("n1") + F.sum("n2")).first()[0])
+        return plain(grams, kind, folder)
+
+    monkeypatch.setattr(kneser_ney, "write_model", counting)
+    rows = [(i, f"some text of number {i}", "en") for i in range(2600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 as quality", "cast(doc_id % 26 = 0 as int) as toxic")
+    kept = kneser_ney.good_documents(docs, labels)
+    trusted = [text for i, text, _ in rows if i % 26]
+    # Each text counts in the models without the other folds: one of two.
+    assert counted == [sum(map(len, trusted)), 5 * len(trusted)]
+    assert kept.columns == docs.columns and 2500 <= kept.count() <= 2600
