@@ -141,12 +141,12 @@ def _batches(file, part: ByteRange, path: str):
             raise EOFError(f"log file {part.path!r} was cut short while it was read")
         if not block.endswith(b"\n"):
             block += file.readline()
-        lines = block.split(b"\n")[:-1]
-        ends = np.cumsum([len(line) + 1 for line in lines])
+        lines = block.decode("utf-8", "replace").split("\n")[:-1]
+        ends = np.flatnonzero(np.frombuffer(block, np.uint8) == ord("\n")) + 1
         places = at + np.concatenate([[0], ends[:-1]]).astype(np.int64)
         at += len(block)
         names = pa.array([os.path.basename(path)] * len(lines), pa.string())
-        texts = pa.array([line.decode("utf-8", "replace") for line in lines], pa.string())
+        texts = pa.array(lines, pa.string())
         yield pa.RecordBatch.from_pydict({"value": texts, "_file": names, "_at": pa.array(places)})
 
 
