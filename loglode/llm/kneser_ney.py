@@ -11,6 +11,7 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loglode.llm import word_grams
 from loglode.llm.shingles import buffers, slices, words_of
 from loglode.llm.tables import sized, stored
 from loglode.session import fresh_dir
@@ -19,8 +20,8 @@ from loglode.session import fresh_dir
 ORDER = 5
 #: Most n-grams in a shard. A task holds one shard at a time, some 20 MB.
 SHARD = 1_000_000
-#: Words of an n-gram at most, each a hash of 64 bits, and where sizes of word n-grams begin: those
-#: of bytes and of words lie in one folder.
+#: Words of an n-gram at most, and where sizes of word n-grams begin, model by model: those of bytes and
+#: of words lie in one folder. The words themselves, hashes of 64 bits, have the first of these sizes.
 WORDS, ABOVE = 3, 100
 #: Added to the size of a context, and to an order, for the places of contexts and discounts.
 CONTEXT, DISCOUNT = 50, 80
@@ -40,7 +41,7 @@ PART = 1 << 20
 #: Bits of a hash that decide whether a document is in the sample.
 BITS = 52
 GRAM_ROWS = "lang string, fold int, gram long, n long"
-WORD_ROWS = "lang string, fold int, w1 long, w2 long, w3 long, n long"
+SHARD_KEY = ["tongue", "size", "shards", "shard"]
 
 
 def keys(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -77,22 +78,6 @@ def word_keys(offsets: np.ndarray, data: np.ndarray) -> tuple[list[np.ndarray],
     return out, starts, starts + lengths
 
 
-def joined(words: list[np.ndarray]) -> np.ndarray:
-    """Words to the number of their n-gram; ``word_number`` is the same in Spark."""
-    out = np.zeros_like(words[0])
-    for word in words:
-        out = ((out << np.uint64(13)) | (out >> np.uint64(51))) ^ word
-    return out
-
-
-def word_number(words: list[str]) -> Column:
-    out = F.lit(0).cast("long")
-    for word in words:
-        turned = F.shiftleft(out, 13).bitwiseOR(F.shiftrightunsigned(out, 51))
-        out = turned.bitwiseXOR(F.col(word))
-    return out
-
-
 def of_each(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     """The values of some columns that occur together, and the rows that have them."""
     rows: dict[tuple, list[int]] = {}
@@ -112,15 +97,15 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield counted(lang, fold, {"gram": grams}, counts)
 
 
-def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, fold and text to the counts of word n-grams of the highest order."""
+def words_by(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """lang, fold and text to the words before each word and itself, of some texts of one language and fold."""
     for batch in batches:
         for lang, fold, rows in of_each(batch, "lang", "fold"):
             offsets, data = buffers(batch["text"].take(pa.array(rows)))
             for first, last in slices(offsets, 2 << 20):
                 words, _, _ = word_keys(offsets[first : last + 1], data)
-                _, at, counts = np.unique(joined(words), return_index=True, return_counts=True)
-                yield counted(lang, fold, {f"w{i + 1}": x[at] for i, x in enumerate(words)}, counts)
+                if len(words[-1]):
+                    yield lang, fold, words
 
 
 def counted(lang: str, fold: int, grams: dict[str, np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
@@ -138,7 +123,6 @@ class Bytes:
     """How n-grams of bytes, packed into the number ``gram``, are taken apart."""
 
     order: int
-    above: int = 0
     models: tuple[int, ...] = tuple(range(FOLDS + 1))
 
     def key(self, size: int) -> list[str]:
@@ -156,27 +140,12 @@ class Bytes:
 
 @dataclass(frozen=True)
 class Words:
-    """How n-grams of words, a column each, are taken apart."""
+    """N-grams of words. They are looked up in the models without a fold alone."""
 
     order: int
-    above: int = ABOVE
-    #: Words are looked up in the models without a fold alone.
-    models: tuple[int, ...] = tuple(range(1, FOLDS + 1))
-
-    def key(self, size: int) -> list[str]:
-        return [f"w{i}" for i in range(self.order - size + 1, self.order + 1)]
-
-    def context(self, size: int) -> dict[str, Column]:
-        return {f"c{i}": F.col(name) for i, name in enumerate(self.key(size)[:-1])}
-
-    def end(self, size: int) -> dict[str, Column]:
-        return {f"e{i}": F.col(name) for i, name in enumerate(self.key(size)[1:])}
-
-    def number(self, names: list[str]) -> Column:
-        return word_number(names)
 
 
-def by_model(counts: DataFrame, kind: Bytes | Words) -> DataFrame:
+def by_model(counts: DataFrame, kind: Bytes) -> DataFrame:
     """Counts by fold to the counts of each model v, nv."""
     sums = [
         F.sum(F.when(F.lit(v == 0) | (F.col("fold") + 1 != v), F.col("n")).otherwise(0)).alias(f"n{v}")
@@ -185,6 +154,14 @@ def by_model(counts: DataFrame, kind: Bytes | Words) -> DataFrame:
     return counts.groupBy("lang", *kind.key(kind.order)).agg(*sums)
 
 
+def off(v: int | str, k: int) -> Column:
+    """What is taken off a count of k of model v, from how many counts nv1 to nv4 are one to four."""
+    n = {i: F.col(f"n{v}{i}") for i in (1, 2, 3, 4)}
+    share = n[1] / F.greatest(n[1] + 2 * n[2], F.lit(1.0))
+    value = k - (k + 1) * share * n[k + 1] / n[k]
+    return F.when(n[k] > 0, F.greatest(F.lit(0.05), F.least(value, F.lit(k - 0.05)))).otherwise(0.5)
+
+
 def discounts(counts: DataFrame, models: tuple[int, ...]) -> DataFrame:
     """lang, rows and for each model v dv1, dv2 and dv3: what is taken off counts of one, two and more."""
     seen = counts.groupBy("lang").agg(
@@ -196,12 +173,6 @@ def discounts(counts: DataFrame, models: tuple[int, ...]) -> DataFrame:
         ],
     )
 
-    def off(v: int, k: int) -> Column:
-        n = {i: F.col(f"n{v}{i}") for i in (1, 2, 3, 4)}
-        share = n[1] / F.greatest(n[1] + 2 * n[2], F.lit(1.0))
-        value = k - (k + 1) * share * n[k + 1] / n[k]
-        return F.when(n[k] > 0, F.greatest(F.lit(0.05), F.least(value, F.lit(k - 0.05)))).otherwise(0.5)
-
     return seen.select("lang", "rows", *[off(v, k).alias(f"d{v}{k}") for v in models for k in (1, 2, 3)])
 
 
@@ -211,13 +182,20 @@ def write_model(grams: DataFrame, kind: Bytes | Words, folder: str) -> None:
     ``grams`` has the counts of the highest order. A lower order counts in how many different
     n-grams of the next one it is the end. For each context there are the sum of the counts after it
     and how many of them are one, two and more. Nothing is joined: probabilities are worked out where
-    they are looked up, from a count, its context and the discounts.
+    they are looked up, from a count, its context and the discounts. Of words, ``grams`` are the shards
+    of the highest order, already in the folder, and a shard has counts and contexts together.
     """
+    if isinstance(kind, Words):
+        for size in range(kind.order, 0, -1):
+            write_word_discounts(grams, size, folder)
+            if size > 1:
+                grams = written_words(word_grams.lower(grams), size - 1, folder)
+        return
     counts = grams
     for size in range(kind.order, 0, -1):
         facts = stored(discounts(counts, kind.models), "discounts")
         number = kind.number(kind.key(size)).alias("gram")
-        write_shards(counts.select("lang", number, *[f"n{v}" for v in kind.models]), facts, kind.above + size, folder)
+        write_shards(counts.select("lang", number, *[f"n{v}" for v in kind.models]), facts, size, folder)
         context = kind.context(size)
         after = [
             value.alias(name)
@@ -235,10 +213,10 @@ def write_model(grams: DataFrame, kind: Bytes | Words, folder: str) -> None:
         number = kind.number(list(context)) if context else F.lit(0).cast("long")
         found = contexts.drop(*context).columns[1:]
         write_shards(
-            contexts.select("lang", number.alias("gram"), *found), facts, kind.above + CONTEXT + size - 1, folder
+            contexts.select("lang", number.alias("gram"), *found), facts, CONTEXT + size - 1, folder
         )
         one = facts.withColumn("gram", F.lit(0).cast("long")).drop("rows")
-        write_shards(one, None, kind.above + DISCOUNT + size, folder)
+        write_shards(one, None, DISCOUNT + size, folder)
         if size > 1:
             end = [x.alias(name) for x, name in zip(kind.end(size).values(), kind.key(size - 1), strict=True)]
             longer = counts.select("lang", *end, *[f"n{v}" for v in kind.models])
@@ -246,6 +224,47 @@ def write_model(grams: DataFrame, kind: Bytes | Words, folder: str) -> None:
             counts = stored(longer.groupBy("lang", *kind.key(size - 1)).agg(*ends), "grams")
 
 
+def written_words(shards: DataFrame, order: int, folder: str) -> DataFrame:
+    """The shards of word n-grams of one order, written once below the folder and read from there."""
+    placed = shards.withColumns({"tongue": tongue_of("lang"), "size": F.col("model") * ABOVE + order})
+    path = f"{folder}/words{order}"
+    placed.write.partitionBy(*SHARD_KEY).parquet(path)
+    spark = shards.sparkSession
+    return spark.read.schema(placed.schema).parquet(path).select(*shards.columns)
+
+
+def write_word_discounts(shards: DataFrame, order: int, folder: str) -> None:
+    seen = shards.groupBy("lang", "model").agg(*[F.sum(f"c{k}").cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)])
+    placed = seen.select(
+        tongue_of("lang").alias("tongue"),
+        (F.col("model") * ABOVE + order + DISCOUNT).alias("size"),
+        F.lit(1).alias("shards"),
+        F.lit(0).alias("shard"),
+        *[off("", k).alias(f"d{k}") for k in (1, 2, 3)],
+    )
+    placed.write.mode("append").partitionBy(*SHARD_KEY).parquet(folder)
+
+
+def word_shards(trusted: DataFrame, kind: Words, folder: str) -> DataFrame:
+    """The shards of word n-grams of the highest order of lang, fold and text, written below the folder.
+
+    The different words of each language are counted first, so that an n-gram is a few small numbers.
+    """
+    counts = word_grams.in_shards(
+        trusted.mapInArrow(word_grams.count_vocabulary(words_by), word_grams.PARTIAL)
+    )
+    known = f"{folder}/words"
+    sizes = written_words(counts, 0, known).groupBy("lang").agg(F.sum("n1").alias("n")).collect()
+    # A text is in all models but one.
+    shards = {row.lang: row.n * (FOLDS - 1) // FOLDS // SHARD + 1 for row in sizes}
+    count = word_grams.count_trigrams(words_by, words_in(known), shards, FOLDS)
+    return written_words(word_grams.in_shards(trusted.mapInArrow(count, word_grams.PARTIAL)), kind.order, folder)
+
+
+def tongue_of(lang: str) -> Column:
+    return F.concat(F.lit("l"), F.hex(lang))
+
+
 def write_shards(rows: DataFrame, facts: DataFrame | None, size: int, folder: str) -> None:
     """Write the rows of one size; ``facts`` tells how many there are at most, one of a language if None."""
     # An odd number of shards, so that the last byte alone does not choose.
@@ -255,16 +274,15 @@ def write_shards(rows: DataFrame, facts: DataFrame | None, size: int, folder: st
         rows = rows.join(F.broadcast(facts.select("lang", "rows")), "lang")
         shards = (F.floor(F.col("rows") / SHARD / 2) * 2 + 1).cast("int")
     placed = rows.select(
-        F.concat(F.lit("l"), F.hex("lang")).alias("tongue"),
+        tongue_of("lang").alias("tongue"),
         F.lit(size).alias("size"),
         shards.alias("shards"),
         F.pmod(F.shiftrightunsigned("gram", 1), shards).cast("int").alias("shard"),
         "gram",
         *values,
     )
-    key = ["tongue", "size", "shards", "shard"]
-    ranged = placed.repartition(*key).sortWithinPartitions(*key, "gram")
-    ranged.write.mode("append").partitionBy(*key).parquet(folder)
+    ranged = placed.repartition(*SHARD_KEY).sortWithinPartitions(*SHARD_KEY, "gram")
+    ranged.write.mode("append").partitionBy(*SHARD_KEY).parquet(folder)
 
 
 class Model:
@@ -284,6 +302,7 @@ class Model:
                 self.shards[key] = int(parts["shards"])
                 self.files.setdefault(key, {}).setdefault(int(parts["shard"]), []).append(info.path)
         self.held: dict[tuple, tuple[np.ndarray, ...]] = {}
+        self.numbers: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def read(self, tongue: str, size: int, number: int, columns: list[str]) -> list[np.ndarray]:
         tables = [
@@ -293,6 +312,26 @@ class Model:
         table = pa.concat_tables(tables) if tables else pa.table({name: [] for name in columns})
         return [table[name].to_numpy() for name in columns]
 
+    def words(self, tongue: str) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the words of a language in order, and their numbers."""
+        if tongue not in self.numbers:
+            shards = sorted(self.files.get((tongue, ABOVE), {}))
+            found = word_grams.numbers_of(
+                [blob for number in shards for blob in self.packed(tongue, ABOVE, number, ["grams"])[0]]
+            )
+            while self.numbers and sum(len(x[0]) for x in self.numbers.values()) + len(found[0]) > self.HELD:
+                self.numbers.pop(next(iter(self.numbers)))
+            self.numbers[tongue] = found
+        return self.numbers[tongue]
+
+    def packed(self, tongue: str, size: int, number: int, columns: list[str]) -> list[list[bytes]]:
+        return [list(column) for column in self.read(tongue, size, number, columns)]
+
+    def taken_off(self, tongue: str, size: int, columns: list[str]) -> np.ndarray:
+        """What is taken off a count of none, one, two and more."""
+        found = self.read(tongue, size + DISCOUNT, 0, columns)
+        return np.array([0.0, *(x[0] if len(x) else 0.5 for x in found)])
+
     def shard(self, tongue: str, size: int, number: int, model: int) -> tuple[np.ndarray, ...]:
         """N-grams in order with their discounted counts, or contexts with their sums and shares.
 
@@ -302,10 +341,9 @@ class Model:
         if key in self.held:
             self.held[key] = self.held.pop(key)
             return self.held[key]
-        of_context = size % ABOVE >= CONTEXT
+        of_context = size >= CONTEXT
         order = size - CONTEXT + 1 if of_context else size
-        found = self.read(tongue, order + DISCOUNT, 0, [f"d{model}{k}" for k in (1, 2, 3)])
-        off = np.array([0.0, *(x[0] if len(x) else 0.5 for x in found)])
+        off = self.taken_off(tongue, order, [f"d{model}{k}" for k in (1, 2, 3)])
         if of_context:
             names = [f"{name}{model}" for name in ("total", "ones", "twos", "more")]
             grams, total, *seen = self.read(tongue, size, number, ["gram", *names])
@@ -333,7 +371,7 @@ class Model:
 
     def look_up(self, tongue: str, size: int, grams: np.ndarray, model: int) -> list[np.ndarray]:
         """The values of each n-gram or context, 0 where the model has none."""
-        out = [np.zeros(len(grams)) for _ in range(2 if size % ABOVE >= CONTEXT else 1)]
+        out = [np.zeros(len(grams)) for _ in range(2 if size >= CONTEXT else 1)]
         count = self.shards.get((tongue, size), 0)
         places = (grams >> np.uint64(1)) % np.uint64(count) if count > 1 else None
         ordered = np.argsort(grams.view(np.int64))
@@ -388,17 +426,31 @@ class Model:
 
         That of an unknown word is without its spelling.
         """
-        grams, back_to = distinct(joined(words))
-        at = np.zeros(len(grams), np.int64)
-        at[back_to] = np.arange(len(back_to))
-        words = [x[at] for x in words]
-        known = self.look_up(tongue, ABOVE + 1, joined(words[-1:]), model)[0] > 0
-        p = np.where(known, 0.0, 1.0)
-        for size in range(1, WORDS + 1):
-            some = words[WORDS - size :]
-            context = joined(some[:-1]) if size > 1 else np.zeros(len(grams), np.uint64)
-            p = self.above(tongue, ABOVE + size, joined(some), context, p, model)
-        return -np.log(p)[back_to], known[back_to]
+        known_words = self.words(tongue)
+        width = len(known_words[0]) + 1
+        *before, last = word_grams.numbered(words, known_words)
+        size = ABOVE * model + 1
+        counts = np.zeros(width, np.int64)
+        for number in self.files.get((tongue, size), {}):
+            for blob in self.packed(tongue, size, number, ["grams"])[0]:
+                found = word_grams.unpack(blob)
+                counts[found["key"]] = found["n"]
+        off = ["d1", "d2", "d3"]
+        p, known = word_grams.single(counts, last, self.taken_off(tongue, size, off))
+        for order in range(2, WORDS + 1):
+            size = ABOVE * model + order
+            context, *more = before[WORDS - order :]
+            for word in more:
+                context = np.where((context >= 0) & (word >= 0), context * width + word, -1)
+            shards = self.shards.get((tongue, size), 0)
+            if shards:
+                taken = self.taken_off(tongue, size, off)
+                p = word_grams.looked_up(self.grams(tongue, size), shards, width, taken, context, last, p)
+        return -np.log(p), known
+
+    def grams(self, tongue: str, size: int) -> Callable[[int], Iterator[tuple[bytes, bytes]]]:
+        """How to read the packed contexts and n-grams of a shard of words."""
+        return lambda number: zip(*self.packed(tongue, size, number, ["contexts", "grams"]), strict=True)
 
     @staticmethod
     def spelled_words(offsets: np.ndarray, data: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -429,6 +481,24 @@ def model_of(folder: str) -> Model:
     return _models[folder]
 
 
+def words_in(folder: str) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
+    """How a task looks up the words of a language."""
+    return lambda lang: model_of(folder).words("l" + lang.encode().hex().upper())
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in longer ones of about GROUP bytes of text: a look-up passes over all shards of a language."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch["text"].nbytes
+        if size >= GROUP:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def score(folder: str) -> Callable:
     """Rows with lang, fold and text to the same rows with nll, held_nll, word_nll and bytes.
 
@@ -438,7 +508,7 @@ def score(folder: str) -> Callable:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = model_of(folder)
-        for whole in batches:
+        for whole in gathered(batches):
             for start, stop in slices(buffers(whole["text"])[0], GROUP):
                 batch = whole.slice(start, stop - start)
                 nll, held_nll, word_nll = np.full((3, batch.num_rows), np.nan)
@@ -576,9 +646,9 @@ def judged(
     ids = trusted_ids(labels)
     sample = fitted(trusted_documents(docs, ids), fit)
     folder = fresh_dir(docs.sparkSession, "shards")
-    for kind, count, shape in ((Bytes(ORDER), count_grams, GRAM_ROWS), (Words(WORDS), count_words, WORD_ROWS)):
-        grams = stored(by_model(sample.mapInArrow(count, shape), kind), "grams")
-        write_model(grams, kind, folder)
+    grams = stored(by_model(sample.mapInArrow(count_grams, GRAM_ROWS), Bytes(ORDER)), "grams")
+    write_model(grams, Bytes(ORDER), folder)
+    write_model(word_shards(sample, Words(WORDS), folder), Words(WORDS), folder)
     row = F.struct(*[F.col(f"`{name}`") for name in columns or docs.columns]).alias("row")
     whole = docs.select(row).schema
     for name in ("nll", "held_nll", "word_nll"):

@@ -9,12 +9,13 @@ import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 from brute import ROWS
-from loglode.llm import kneser_ney, language, secrets
+from loglode.llm import kneser_ney, language, secrets, tables, word_grams
 from loglode.llm.language import document_rows, identify, page_rows
 from loglode.llm.licenses import PHRASES, find_licences
 from loglode.llm.winnowing import fingerprints, likeness, with_fingerprint, with_next, written
@@ -498,3 +499,88 @@ def test_models_are_of_all_trusted_text(spark, monkeypatch):
     # Each text counts in the models without the other folds: one of two.
     assert counted == [sum(map(len, trusted)), 5 * len(trusted)]
     assert kept.columns == docs.columns and 2500 <= kept.count() <= 2600
+
+
+def prose(rows, words, seed):
+    """Texts of Zipf-distributed invented words."""
+    rng = random.Random(seed)
+    known = ["".join(rng.choices("abcd", k=rng.randint(6, 10))) for _ in range(20_000)]
+    weights = [1 / (i + 1) for i in range(len(known))]
+    return [" ".join(rng.choices(known, weights, k=words)) for _ in range(rows)]
+
+
+def test_models_take_little_disk(spark, tmp_path, monkeypatch):
+    """What is written for the models and scores is less than the text, not many times as much."""
+    places = []
+
+    def own_dir(session, name):
+        places.append(tmp_path / f"{name}-{len(places)}")
+        return str(places[-1])
+
+    for module in (kneser_ney, tables):
+        monkeypatch.setattr(module, "fresh_dir", own_dir)
+    texts = prose(4000, 100, 3)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    assert kneser_ney.judged(docs, labels, columns=["doc_id", "lang"]).count() == 4000
+    size = sum(p.stat().st_size for p in tmp_path.rglob("*.parquet"))
+    assert size < sum(map(len, texts))
+
+
+def test_word_shards_do_not_change_scores(spark, monkeypatch):
+    """Scores are the same however many shards a model has and however many words a task counts at once."""
+    texts = [*prose(60, 50, 4), None, "", "é é é", "unseen words alone"]
+    rows = [(i, t, lang) for i, t in enumerate(texts) for lang in ("en", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = docs.filter("doc_id < 50").selectExpr("doc_id", "1 as quality", "0 as toxic")
+
+    def scores():
+        found = kneser_ney.judged(docs, labels, columns=["doc_id", "lang"]).select("row.*", "bytes", "held_perplexity", "word_perplexity", "kept")
+        return sorted(map(tuple, found.collect()), key=str)
+
+    whole = scores()
+    monkeypatch.setattr(kneser_ney, "SHARD", 100)
+    assert scores() == whole and len(whole) == len(rows)
+
+
+def test_word_counts_and_probabilities():
+    """Packed partial counts add up to those of all words, and give the probabilities by their definition."""
+    texts = [tuple(t.split()) for t in prose(40, 30, 5)]
+    vocabulary = sorted({w for t in texts for w in t})
+    number = {w: i + 1 for i, w in enumerate(vocabulary)} | {"": 0}
+    width, shards = len(number), 3
+    rows = [[number[w] for w in ("", "", *t)[i : i + 3]] for t in texts for i in range(len(t))]
+    held = [[np.array(x) for x in zip(*part, strict=True)] for part in (rows[:500], rows[500:])]
+    level = {3: [r for part in held for b in word_grams.trigrams([part], "en", 1, width, shards) for r in b.to_pylist()]}
+    off, wanted = {}, plain_model(texts, 3, 1.0)
+    for order in (3, 2, 1):
+        groups = defaultdict(list)
+        for row in level[order]:
+            groups[row["shard"]].append(row)
+        level[order] = [word_grams.merged(pa.Table.from_pylist(g)).to_pylist()[0] for _, g in sorted(groups.items())]
+        if order > 1:
+            batches = iter([pa.RecordBatch.from_pylist(level[order])])
+            level[order - 1] = [r for b in word_grams.shorter(batches) for r in b.to_pylist()]
+    assert sum(r["n1"] for r in level[3]) == len(rows)
+    for order, found in level.items():
+        n = {k: sum(r[f"c{k}"] for r in found) for k in (1, 2, 3, 4)}
+        share = n[1] / max(n[1] + 2 * n[2], 1.0)
+        off[order] = np.array([0.0] + [max(0.05, min(k - (k + 1) * share * n[k + 1] / n[k], k - 0.05)) if n[k] else 0.5 for k in (1, 2, 3)])
+    asked = rows[:200] + [[a[0], b[1], c[2]] for a, b, c in zip(rows[:200], rows[300:500], rows[700:900], strict=True)]
+    first, second, last = (np.array(x) for x in zip(*asked, strict=True))
+    counts = np.zeros(width, np.int64)
+    for row in level[1]:
+        part = word_grams.unpack(row["grams"])
+        counts[part["key"]] = part["n"]
+    p, known = word_grams.single(counts, last, off[1])
+    assert known.all()
+    for order, context in ((2, second), (3, first * width + second)):
+        by_shard = {r["shard"]: (r["contexts"], r["grams"]) for r in level[order]}
+        read = lambda s, by_shard=by_shard: [by_shard[s]] if s in by_shard else []
+        p = word_grams.looked_up(read, shards, width, off[order], context, last, p)
+    names = ["", *vocabulary]
+    # Known words do not fall back to a probability of 1 as in the plain model, so the two differ by that share alone.
+    known_only = plain_model(texts, 3, 0.0)
+    for gram, found in zip(asked, p, strict=True):
+        assert found == pytest.approx(known_only(tuple(names[i] for i in gram)), rel=1e-5)
+        assert found <= wanted(tuple(names[i] for i in gram)) + 1e-9
