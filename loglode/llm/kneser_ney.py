@@ -251,14 +251,15 @@ def word_shards(trusted: DataFrame, kind: Words, folder: str) -> DataFrame:
     The different words of each language are counted first, so that an n-gram is a few small numbers.
     """
     counts = word_grams.in_shards(
-        trusted.mapInArrow(word_grams.count_vocabulary(words_by), word_grams.PARTIAL)
+        trusted.mapInArrow(released(word_grams.count_vocabulary(words_by)), word_grams.PARTIAL)
     )
     known = f"{folder}/words"
     sizes = written_words(counts, 0, known).groupBy("lang").agg(F.sum("n1").alias("n")).collect()
     # A text is in all models but one.
     shards = {row.lang: row.n * (FOLDS - 1) // FOLDS // SHARD + 1 for row in sizes}
     count = word_grams.count_trigrams(words_by, words_in(known), shards, FOLDS)
-    return written_words(word_grams.in_shards(trusted.mapInArrow(count, word_grams.PARTIAL)), kind.order, folder)
+    partial = trusted.mapInArrow(released(count), word_grams.PARTIAL)
+    return written_words(word_grams.in_shards(partial), kind.order, folder)
 
 
 def tongue_of(lang: str) -> Column:
@@ -424,11 +425,10 @@ class Model:
     def word_surprise(self, tongue: str, words: list[np.ndarray], model: int) -> tuple[np.ndarray, np.ndarray]:
         """Per word the negative logarithm of its probability after the others, and if it is known.
 
-        That of an unknown word is without its spelling.
+        ``words`` are numbers of the language's vocabulary. That of an unknown word is without its spelling.
         """
-        known_words = self.words(tongue)
-        width = len(known_words[0]) + 1
-        *before, last = word_grams.numbered(words, known_words)
+        width = len(self.words(tongue)[0]) + 1
+        *before, last = words
         size = ABOVE * model + 1
         counts = np.zeros(width, np.int64)
         for number in self.files.get((tongue, size), {}):
@@ -440,6 +440,7 @@ class Model:
         for order in range(2, WORDS + 1):
             size = ABOVE * model + order
             context, *more = before[WORDS - order :]
+            context = context.astype(np.int64)
             for word in more:
                 context = np.where((context >= 0) & (word >= 0), context * width + word, -1)
             shards = self.shards.get((tongue, size), 0)
@@ -452,20 +453,23 @@ class Model:
         """How to read the packed contexts and n-grams of a shard of words."""
         return lambda number: zip(*self.packed(tongue, size, number, ["contexts", "grams"]), strict=True)
 
-    @staticmethod
-    def spelled_words(offsets: np.ndarray, data: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Per word those before it and itself, the surprise of its bytes and which text it is in.
+    def spelled_words(
+        self, tongue: str, offsets: np.ndarray, data: np.ndarray, sums: np.ndarray
+    ) -> tuple[np.ndarray, ...]:
+        """Per word the numbers of those before it and its own, the surprise of its bytes and which text it is in.
 
         ``sums`` is the surprise of all bytes before each byte. A word's bytes are it and one space after it.
         """
         bounds = offsets - offsets[0]
         words, starts, ends = word_keys(offsets, data)
         text = np.searchsorted(bounds, starts, "right") - 1
-        return *words, sums[np.minimum(ends + 1, bounds[text + 1])] - sums[starts], text
+        numbers = [x.astype(np.int32) for x in word_grams.numbered(words, self.words(tongue))]
+        return *numbers, sums[np.minimum(ends + 1, bounds[text + 1])] - sums[starts], text.astype(np.int32)
 
     def worded(self, tongue: str, parts: list[tuple[np.ndarray, ...]], nll: np.ndarray, model: int) -> np.ndarray:
         """Per text the surprise of its words, of the words of some parts and the surprise of all bytes of each text."""
         *words, spelled, text = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
         own, known = self.word_surprise(tongue, words, model)
         # A known word takes the place of its spelling.
         return nll + np.bincount(text, own - np.where(known, spelled, 0), len(nll))
@@ -488,15 +492,33 @@ def words_in(folder: str) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in longer ones of about GROUP bytes of text: a look-up passes over all shards of a language."""
-    held, size = [], 0
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        held.append(batch)
-        size += batch["text"].nbytes
-        if size >= GROUP:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, size = [], 0
+        if held and sum(x["text"].nbytes for x in held) + batch["text"].nbytes > GROUP:
+            whole, held = as_one(held), [batch]
+            yield whole
+        else:
+            held.append(batch)
     if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        whole, held = as_one(held), []
+        yield whole
+
+
+def as_one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.concat_batches(batches) if len(batches) > 1 else batches[0]
+
+
+def released(work: Callable) -> Callable:
+    """The same work, after which a task's worker, which Spark keeps, holds no models and no freed memory."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            _models.clear()
+            word_grams.give_back()
+
+    return of
 
 
 def score(folder: str) -> Callable:
@@ -528,8 +550,8 @@ def score(folder: str) -> Callable:
                         nll[rows] = np.diff(of_all[bounds])
                         if held:
                             held_nll[rows] = np.diff(held[0][bounds])
-                            *words, text = models.spelled_words(own, data, held[0])
-                            parts.append((*words, text + first))
+                            *words, text = models.spelled_words(tongue, own, data, held[0])
+                            parts.append((*words, text + np.int32(first)))
                     if parts:
                         # All words at once: each look-up passes over all shards of the language.
                         word_nll[alike] = models.worded(tongue, parts, held_nll[alike], fold + 1)
@@ -646,14 +668,14 @@ def judged(
     ids = trusted_ids(labels)
     sample = fitted(trusted_documents(docs, ids), fit)
     folder = fresh_dir(docs.sparkSession, "shards")
-    grams = stored(by_model(sample.mapInArrow(count_grams, GRAM_ROWS), Bytes(ORDER)), "grams")
+    grams = stored(by_model(sample.mapInArrow(released(count_grams), GRAM_ROWS), Bytes(ORDER)), "grams")
     write_model(grams, Bytes(ORDER), folder)
     write_model(word_shards(sample, Words(WORDS), folder), Words(WORDS), folder)
     row = F.struct(*[F.col(f"`{name}`") for name in columns or docs.columns]).alias("row")
     whole = docs.select(row).schema
     for name in ("nll", "held_nll", "word_nll"):
         whole = whole.add(name, "double")
-    scored = stored(texts_of(docs, row).mapInArrow(score(folder), whole.add("bytes", "long")), "scored")
+    scored = stored(texts_of(docs, row).mapInArrow(released(score(folder)), whole.add("bytes", "long")), "scored")
     tongue = F.coalesce(F.col("row.lang"), F.lit(""))
     own = scored.select(
         F.col("row.doc_id").alias("doc_id"), tongue.alias("lang"), "nll", "held_nll", "word_nll", "bytes"

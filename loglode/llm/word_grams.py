@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -25,6 +26,14 @@ ROWS = (
 PARTIAL = "lang string, model int, width long, shards int, shard int, grams binary"
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker is kept after its task, beside the tasks that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def pack(**columns: np.ndarray) -> bytes:
     """Columns in few bytes: ``key`` in ascending order by differences, counts by runs, words by byte planes."""
     kinds = {"key": "DELTA_BINARY_PACKED", "last": "BYTE_STREAM_SPLIT"}
@@ -77,10 +86,18 @@ def dealt(
 
 def merged(table: pa.Table) -> pa.Table:
     """The partial counts of one shard to its counts."""
-    parts = [unpack(blob) for blob in table["grams"].to_pylist()]
+    out = counts_of(table)
+    give_back()
+    return out
+
+
+def counts_of(table: pa.Table) -> pa.Table:
+    parts = [unpack(blob.as_py()) for blob in table["grams"]]
     names = [name for name in ("key", "last") if name in parts[0]]
     keys = [np.concatenate([part[name] for part in parts]) for name in names]
-    keys, n = summed(keys, np.concatenate([part["n"] for part in parts]).astype(np.int64))
+    n = np.concatenate([part["n"] for part in parts]).astype(np.int64)
+    del parts
+    keys, n = summed(keys, n)
     lang, model, width, shards, shard = (table[name][0].as_py() for name in KEY)
     contexts = b""
     if len(keys) > 1:
@@ -216,7 +233,9 @@ def looked_up(
     Negative contexts and last words are unknown. ``read`` gives a shard by its number, if there is one.
     """
     place = hashed(np.maximum(context, 0), count)
-    order = np.lexsort((context, place))
+    order = np.argsort(context)
+    # By shard, and there by context; small numbers are sorted without comparing.
+    order = order[np.argsort(place[order].astype(np.uint16) if count < 1 << 16 else place[order], kind="stable")]
     ends = np.searchsorted(place[order], np.arange(count + 1))
     for number in np.flatnonzero(np.diff(ends)):
         part = order[ends[number] : ends[number + 1]]
