@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loglode.llm.components import components
-from loglode.llm.shingles import few_rows, mixed, shingle_sets
+from loglode.llm.shingles import few_rows, mixed, released, shingle_sets
 from loglode.llm.tables import ascii_lower, sized, stored
 
 #: Cells of the table of shingle counts, and cells in one row of it. The table has 8 MB at any
@@ -81,7 +81,7 @@ def added_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shingle_counts(docs: DataFrame, words: int) -> Broadcast:
     """How many documents have the shingles of each cell, over all documents."""
     shape = "at int, cells binary"
-    rows = docs.select("text").mapInArrow(counts_in_task(words), shape)
+    rows = docs.select("text").mapInArrow(released(counts_in_task(words)), shape)
     table = np.zeros((CELLS // ROW, ROW), np.int64)
     for row in rows.repartition(CELLS // ROW // 8, "at").mapInArrow(added_rows, shape).collect():
         table[row["at"]] += np.frombuffer(row["cells"], "<u4")
@@ -246,15 +246,15 @@ def verified(
         sides["b"], F.col("b") == F.col("b_doc_id")
     )
     columns = near.select("a", "b", "a_n", "b_n", "a_parts", "b_parts")
-    near = stored(columns.mapInArrow(close(percent), "a long, b long").distinct(), "pairs")
+    near = stored(columns.mapInArrow(released(close(percent)), "a long, b long").distinct(), "pairs")
     wanted = stored(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "wanted")
     sets = stored(
-        texts.join(sized(wanted), "doc_id", "left_semi").mapInArrow(sets_of(words), SETS), "sets"
+        texts.join(sized(wanted), "doc_id", "left_semi").mapInArrow(released(sets_of(words)), SETS), "sets"
     )
     first = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("a_set"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("b_set"))
     both = near.join(first, "a").join(second, "b").select("a", "b", "a_set", "b_set")
-    return stored(both.mapInArrow(alike(percent), "a long, b long"), "verified")
+    return stored(both.mapInArrow(released(alike(percent)), "a long, b long"), "verified")
 
 
 def similar_links(
@@ -271,7 +271,7 @@ def similar_links(
     counts = shingle_counts(texts, words)
     shape = "doc_id long, n long, prefix array<long>, parts binary"
     rare = stored(
-        texts.mapInArrow(prefixes(words, percent, counts), shape).join(sized(classes), "doc_id", "left_semi"),
+        texts.mapInArrow(released(prefixes(words, percent, counts)), shape).join(sized(classes), "doc_id", "left_semi"),
         "prefixes",
     )
     places = rare.select("doc_id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "shingle"))
@@ -319,7 +319,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     rows = stored(
-        texts.mapInArrow(signatures(words), "doc_id long, n_shingles long, digest binary"), "signatures"
+        texts.mapInArrow(released(signatures(words)), "doc_id long, n_shingles long, digest binary"), "signatures"
     )
     joined = rows.filter("doc_id is not null and digest is not null")
     # Stored, so that the join has a shuffle of its own, in which a large class is split.

@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loglode.llm import word_grams
-from loglode.llm.shingles import buffers, slices, words_of
+from loglode.llm.shingles import buffers, released, slices, words_of
 from loglode.llm.tables import sized, stored
 from loglode.session import fresh_dir
 
@@ -258,7 +258,7 @@ def word_shards(trusted: DataFrame, kind: Words, folder: str) -> DataFrame:
     # A text is in all models but one.
     shards = {row.lang: row.n * (FOLDS - 1) // FOLDS // SHARD + 1 for row in sizes}
     count = word_grams.count_trigrams(words_by, words_in(known), shards, FOLDS)
-    partial = trusted.mapInArrow(released(count), word_grams.PARTIAL)
+    partial = trusted.mapInArrow(without_models(count), word_grams.PARTIAL)
     return written_words(word_grams.in_shards(partial), kind.order, folder)
 
 
@@ -508,17 +508,16 @@ def as_one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.concat_batches(batches) if len(batches) > 1 else batches[0]
 
 
-def released(work: Callable) -> Callable:
-    """The same work, after which a task's worker, which Spark keeps, holds no models and no freed memory."""
+def without_models(work: Callable) -> Callable:
+    """The same work, after which the task's worker holds no models."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from work(batches)
         finally:
             _models.clear()
-            word_grams.give_back()
 
-    return of
+    return released(of)
 
 
 def score(folder: str) -> Callable:
@@ -675,7 +674,7 @@ def judged(
     whole = docs.select(row).schema
     for name in ("nll", "held_nll", "word_nll"):
         whole = whole.add(name, "double")
-    scored = stored(texts_of(docs, row).mapInArrow(released(score(folder)), whole.add("bytes", "long")), "scored")
+    scored = stored(texts_of(docs, row).mapInArrow(without_models(score(folder)), whole.add("bytes", "long")), "scored")
     tongue = F.coalesce(F.col("row.lang"), F.lit(""))
     own = scored.select(
         F.col("row.doc_id").alias("doc_id"), tongue.alias("lang"), "nll", "held_nll", "word_nll", "bytes"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
-from loglode.llm.shingles import mixed
+from loglode.llm.shingles import give_back, mixed
 
 #: Groups of the different words of a language by hash.
 PARTS = 16
@@ -26,14 +25,6 @@ ROWS = (
 PARTIAL = "lang string, model int, width long, shards int, shard int, grams binary"
 
 
-def give_back() -> None:
-    """Return freed memory to the system: a worker is kept after its task, beside the tasks that follow."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def pack(**columns: np.ndarray) -> bytes:
     """Columns in few bytes: ``key`` in ascending order by differences, counts by runs, words by byte planes."""
     kinds = {"key": "DELTA_BINARY_PACKED", "last": "BYTE_STREAM_SPLIT"}
