@@ -12,13 +12,14 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loglode.llm import word_grams
-from loglode.llm.shingles import buffers, released, slices, words_of
-from loglode.llm.tables import sized, stored
+from loglode.llm.shingles import buffers, give_back, released, slices, words_of
+from loglode.llm.tables import short_batches, sized, stored
 from loglode.session import fresh_dir
 
 #: Bytes of an n-gram at most. They fit in one number, so no two n-grams are confused.
 ORDER = 5
-#: Most n-grams in a shard. A task holds one shard at a time, some 20 MB.
+#: Most n-grams in a shard. A task takes one shard at a time apart, some 20 MB; those of words take more, so
+#: half as many are in one.
 SHARD = 1_000_000
 #: Words of an n-gram at most, and where sizes of word n-grams begin, model by model: those of bytes and
 #: of words lie in one folder. The words themselves, hashes of 64 bits, have the first of these sizes.
@@ -89,7 +90,7 @@ def of_each(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, fold and text to the counts of byte n-grams of the highest order."""
-    for batch in batches:
+    for batch in gathered(batches):
         for lang, fold, rows in of_each(batch, "lang", "fold"):
             offsets, data = buffers(batch["text"].take(pa.array(rows)))
             for first, last in slices(offsets, 2 << 20):
@@ -99,7 +100,7 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def words_by(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """lang, fold and text to the words before each word and itself, of some texts of one language and fold."""
-    for batch in batches:
+    for batch in gathered(batches):
         for lang, fold, rows in of_each(batch, "lang", "fold"):
             offsets, data = buffers(batch["text"].take(pa.array(rows)))
             for first, last in slices(offsets, 2 << 20):
@@ -256,7 +257,7 @@ def word_shards(trusted: DataFrame, kind: Words, folder: str) -> DataFrame:
     known = f"{folder}/words"
     sizes = written_words(counts, 0, known).groupBy("lang").agg(F.sum("n1").alias("n")).collect()
     # A text is in all models but one.
-    shards = {row.lang: row.n * (FOLDS - 1) // FOLDS // SHARD + 1 for row in sizes}
+    shards = {row.lang: row.n * (FOLDS - 1) // FOLDS // (SHARD // 2) + 1 for row in sizes}
     count = word_grams.count_trigrams(words_by, words_in(known), shards, FOLDS)
     partial = trusted.mapInArrow(without_models(count), word_grams.PARTIAL)
     return written_words(word_grams.in_shards(partial), kind.order, folder)
@@ -325,6 +326,11 @@ class Model:
             self.numbers[tongue] = found
         return self.numbers[tongue]
 
+    def only(self, tongue: str) -> None:
+        """Forget what is held of other languages."""
+        self.numbers = {key: held for key, held in self.numbers.items() if key == tongue}
+        self.held = {key: held for key, held in self.held.items() if key[0] == tongue}
+
     def packed(self, tongue: str, size: int, number: int, columns: list[str]) -> list[list[bytes]]:
         return [list(column) for column in self.read(tongue, size, number, columns)]
 
@@ -538,6 +544,7 @@ def score(folder: str) -> Callable:
                     tongue = "l" + lang.encode().hex().upper()
                     offsets, data = buffers(batch["text"].take(pa.array(alike)))
                     sizes[alike] = np.diff(offsets)
+                    models.only(tongue)
                     if not models.has(tongue, 0):
                         continue
                     held_out = [fold + 1] if models.has(tongue, fold + 1) else []
@@ -551,6 +558,10 @@ def score(folder: str) -> Callable:
                             held_nll[rows] = np.diff(held[0][bounds])
                             *words, text = models.spelled_words(tongue, own, data, held[0])
                             parts.append((*words, text + np.int32(first)))
+                        of_all = held = None
+                    offsets = data = None
+                    # What bytes took is for the words now.
+                    give_back()
                     if parts:
                         # All words at once: each look-up passes over all shards of the language.
                         word_nll[alike] = models.worded(tongue, parts, held_nll[alike], fold + 1)
@@ -667,14 +678,16 @@ def judged(
     ids = trusted_ids(labels)
     sample = fitted(trusted_documents(docs, ids), fit)
     folder = fresh_dir(docs.sparkSession, "shards")
-    grams = stored(by_model(sample.mapInArrow(released(count_grams), GRAM_ROWS), Bytes(ORDER)), "grams")
-    write_model(grams, Bytes(ORDER), folder)
-    write_model(word_shards(sample, Words(WORDS), folder), Words(WORDS), folder)
     row = F.struct(*[F.col(f"`{name}`") for name in columns or docs.columns]).alias("row")
     whole = docs.select(row).schema
     for name in ("nll", "held_nll", "word_nll"):
         whole = whole.add(name, "double")
-    scored = stored(texts_of(docs, row).mapInArrow(without_models(score(folder)), whole.add("bytes", "long")), "scored")
+    whole = whole.add("bytes", "long")
+    with short_batches(docs.sparkSession):
+        grams = stored(by_model(sample.mapInArrow(released(count_grams), GRAM_ROWS), Bytes(ORDER)), "grams")
+        write_model(grams, Bytes(ORDER), folder)
+        write_model(word_shards(sample, Words(WORDS), folder), Words(WORDS), folder)
+        scored = stored(texts_of(docs, row).mapInArrow(without_models(score(folder)), whole), "scored")
     tongue = F.coalesce(F.col("row.lang"), F.lit(""))
     own = scored.select(
         F.col("row.doc_id").alias("doc_id"), tongue.alias("lang"), "nll", "held_nll", "word_nll", "bytes"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -9,6 +12,8 @@ from loglode.session import fresh_dir
 
 #: Largest key table that is sent to every executor, in rows of a few longs each (some 64 MB).
 BROADCAST_ROWS = 2_000_000
+#: Bytes of rows that go to a Python worker at once: the JVM holds them twice outside its heap.
+ARROW_BYTES, ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 #: A word: a run without space, tab, line feed, vertical tab, form feed or carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -29,6 +34,17 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """What is run meanwhile sends rows to Python workers in batches of a few MB; the setting is set back at once."""
+    before = spark.conf.get(ARROW_BYTES)
+    spark.conf.set(ARROW_BYTES, str(ARROW_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
+
+
 def wider(frame: DataFrame, **kinds: str) -> StructType:
     """The frame's schema with more columns at its end."""
     schema = StructType(list(frame.schema.fields))

@@ -224,12 +224,14 @@ def looked_up(
     Negative contexts and last words are unknown. ``read`` gives a shard by its number, if there is one.
     """
     place = hashed(np.maximum(context, 0), count)
-    order = np.argsort(context)
-    # By shard, and there by context; small numbers are sorted without comparing.
-    order = order[np.argsort(place[order].astype(np.uint16) if count < 1 << 16 else place[order], kind="stable")]
-    ends = np.searchsorted(place[order], np.arange(count + 1))
+    ends = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=count))])
+    # Small numbers are sorted without comparing.
+    order = np.argsort(place.astype(np.uint16) if count < 1 << 16 else place, kind="stable").astype(np.int32)
+    del place
     for number in np.flatnonzero(np.diff(ends)):
         part = order[ends[number] : ends[number + 1]]
+        # In order of context, which is how a shard is looked up fast.
+        part = part[np.argsort(context[part])]
         for packed in read(int(number)):
             shard_probabilities(opened(*packed, width), width, off, part, context[part], last[part], p)
     return p

@@ -543,6 +543,32 @@ def test_word_shards_do_not_change_scores(spark, monkeypatch):
     assert scores() == whole and len(whole) == len(rows)
 
 
+def test_scoring_gets_short_batches(spark, monkeypatch, tmp_path):
+    """Texts go to the scoring task a few MB at a time, however many rows a batch may have; the setting is set back."""
+    text = F.repeat(F.concat(F.lit("some words "), F.col("id").cast("string")), 800)
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"))
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 1, 0)], "doc_id bigint, quality int, toxic int")
+    before, seen, real = spark.conf.get(tables.ARROW_BYTES), str(tmp_path / "seen"), kneser_ney.score
+
+    def score(folder):
+        def of(batches):
+            def told():
+                for batch in batches:
+                    with open(seen, "a") as out:
+                        out.write(f"{batch.num_rows} {batch['text'].nbytes}\n")
+                    yield batch
+
+            yield from real(folder)(told())
+
+        return of
+
+    monkeypatch.setattr(kneser_ney, "score", score)
+    assert kneser_ney.judged(docs, labels, columns=["doc_id", "lang"]).count() == 3000
+    sizes = [tuple(map(int, line.split())) for line in open(seen)]
+    assert sum(rows for rows, _ in sizes) == 3000 and max(size for _, size in sizes) < 2 * tables.ARROW_BATCH
+    assert spark.conf.get(tables.ARROW_BYTES) == before
+
+
 def test_word_counts_and_probabilities():
     """Packed partial counts add up to those of all words, and give the probabilities by their definition."""
     texts = [tuple(t.split()) for t in prose(40, 30, 5)]
